@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -35,25 +35,23 @@ def psi(
         "bin", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins)
     )
 
-    def counts(side: int) -> list[Column]:
-        return [
-            F.count_if((F.col("bin") == b) & (F.col("is_current") == side)).alias(f"n{side}_{b}")
-            for b in range(bins)
-        ]
+    per_bin = binned.groupBy("column", "bin").agg(
+        F.count_if(F.col("is_current") == 0).alias("ref"),
+        F.count_if(F.col("is_current") == 1).alias("cur"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+    )
+    # At most ``bins`` rows per column; a bin empty on both sides adds nothing.
+    of_column = Window.partitionBy("column")
 
-    def share(side: int, b: int) -> Column:
-        total = sum((F.col(f"n{side}_{i}") for i in range(bins)), F.lit(0))
-        p = F.try_divide(F.col(f"n{side}_{b}"), total)
+    def share(m: str) -> Column:
+        p = F.try_divide(F.col(m), F.sum(m).over(of_column))
         return F.when(F.coalesce(p, F.lit(0.0)) == 0, EMPTY_SHARE).otherwise(p)
 
-    terms = sum(
-        ((share(1, b) - share(0, b)) * F.log(share(1, b) / share(0, b)) for b in range(bins)),
-        F.lit(0.0),
-    )
-    return (
-        binned.groupBy("column")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *counts(0), *counts(1))
-        .select("column", F.when(F.col("lo") == F.col("hi"), 0.0).otherwise(terms).alias("psi"))
+    shares = per_bin.select("column", "lo", "hi", share("ref").alias("r"), share("cur").alias("c"))
+    term = (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))
+    return shares.groupBy("column").agg(
+        F.when(F.min("lo") == F.max("hi"), 0.0).otherwise(F.sum(term)).alias("psi")
     )
 
 

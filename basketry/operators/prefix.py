@@ -35,33 +35,36 @@ def value_counts(long: DataFrame, group: str = "column", value: str = "value") -
     )
 
 
-def _edges(rows: DataFrame, group: str, value: str) -> DataFrame:
-    marks = [i / BUCKETS for i in range(1, BUCKETS)]
-    coarse = [F.element_at("edges", COARSE * i) for i in range(1, COARSE)]
-    return (
-        rows.groupBy(group)
-        .agg(F.percentile_approx(value, marks, 10_000).alias("edges"))
-        .withColumn("coarse_edges", F.array(*coarse))
-    )
+def _marks(column: str) -> Column:
+    """The inner edges of ``BUCKETS`` buckets of about equal size, as one array."""
+    marks = ", ".join(f"{i / BUCKETS!r}D" for i in range(1, BUCKETS))
+    return F.expr(f"percentile_approx({column}, array({marks}), 10000)")
+
+
+def _coarse(edges: str) -> str:
+    return f"transform(sequence(1, {COARSE - 1}), i -> element_at({edges}, i * {COARSE}))"
 
 
-def _edges_below(edges: Column, value: Column) -> Column:
-    return F.size(F.filter(edges, lambda e: e < value))
+def _edges_below(edges: str, value: str) -> str:
+    return f"size(filter({edges}, e -> e < {value}))"
 
 
-def _with_bucket(rows: DataFrame, edges: DataFrame, group: str, value: str) -> DataFrame:
-    """Bucket = number of edges below the value, found in two steps of 31 comparisons."""
+def _with_bucket(
+    rows: DataFrame, keep: list[str], edges: str, coarse: str, value: str, name: str, only: str = "true"
+) -> DataFrame:
+    """``name`` = number of edges below the value, found in two steps of 31 comparisons
+    (0 without looking where ``only`` is false)."""
+    fine = f"slice({edges}, _step * {COARSE} + 1, {COARSE - 1})"
+    return rows.selectExpr("*", f"IF({only}, {_edges_below(coarse, value)}, 0) AS _step").selectExpr(
+        *keep, f"IF({only}, _step * {COARSE} + {_edges_below(fine, value)}, 0) AS {name}"
+    )
+
+
+def _edges(rows: DataFrame, group: str, value: str) -> DataFrame:
     return (
-        rows.join(F.broadcast(edges), group)
-        .withColumn("coarse", _edges_below(F.col("coarse_edges"), F.col(value)))
-        .withColumn(
-            "bucket",
-            F.col("coarse") * COARSE
-            + _edges_below(
-                F.slice("edges", F.col("coarse") * COARSE + 1, F.lit(COARSE - 1)), F.col(value)
-            ),
-        )
-        .drop("edges", "coarse_edges", "coarse")
+        rows.groupBy(group)
+        .agg(_marks(value).alias("edges"))
+        .selectExpr(group, "edges", f"{_coarse('edges')} AS coarse_edges")
     )
 
 
@@ -70,7 +73,10 @@ def running_totals(
 ) -> DataFrame:
     """Per (group, value) row: ``<m>_before`` (over smaller values), ``<m>_total``
     and ``next_value``.  ``counts`` must hold one row per (group, value)."""
-    tagged = _with_bucket(counts, _edges(counts, group, value), group, value)
+    tagged = _with_bucket(
+        counts.join(F.broadcast(_edges(counts, group, value)), group),
+        counts.columns, "edges", "coarse_edges", value, "bucket",
+    )
 
     in_group = Window.partitionBy(group)
     earlier = in_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,42 +143,46 @@ def scalar_median(df: DataFrame, column: str) -> Column:
 def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "seq") -> DataFrame:
     """0-based position of every row in the order (order, identifier).
 
-    Each edge value forms a bucket of its own, because a time stamp shared by
-    very many rows is always an edge; such a bucket is cut further along the
-    identifier.  No bucket can therefore hold a large share of the rows.
+    A time stamp shared by very many rows is always an edge value, and the rows
+    on an edge are kept apart from the open interval before it and cut further
+    along the identifier.  No bucket can therefore hold a large share of the rows.
     """
-    marks = [i / BUCKETS for i in range(1, BUCKETS)]
-    micros = F.unix_micros(order)
-    keyed = df.withColumn("_order", micros).withColumn("_all", F.lit(0))
-    edges = keyed.agg(
-        F.struct(
-            F.array_distinct(F.percentile_approx("_order", marks, 10_000)).alias("order"),
-            F.array_distinct(F.percentile_approx(identifier, marks, 10_000)).alias("id"),
-        )
-    ).scalar()
-
-    on_edge = F.array_contains(F.col("_edges.order"), F.col("_order"))
-    tagged = (
-        keyed.withColumn("_edges", edges)
-        .withColumn(
-            "_bucket",
-            2 * _edges_below(F.col("_edges.order"), F.col("_order")) + F.when(on_edge, 1).otherwise(0),
-        )
-        .withColumn(
-            "_part",
-            F.when(on_edge, _edges_below(F.col("_edges.id"), F.col(identifier))).otherwise(0),
+    keyed = df.withColumn("_order", F.unix_micros(order))
+    edges = (
+        keyed.agg(_marks("_order").alias("times"), _marks(identifier).alias("ids"))
+        .selectExpr(
+            f"struct(times, {_coarse('times')} AS coarse_times, ids, {_coarse('ids')} AS coarse_ids)"
         )
-        .drop("_edges")
+        .scalar()
+    )
+    rows = [*df.columns, "_order"]
+    timed = _with_bucket(
+        keyed.withColumn("_edges", edges), [*rows, "_edges"],
+        "_edges.times", "_edges.coarse_times", "_order", "_bucket",
+    )
+    on_edge = "coalesce(try_element_at(_edges.times, _bucket + 1) = _order, false)"
+    placed = _with_bucket(
+        timed.selectExpr("*", f"{on_edge} AS _on_edge"), [*rows, "_bucket", "_on_edge"],
+        "_edges.ids", "_edges.coarse_ids", identifier, "_id_bucket", "_on_edge",
+    )
+    tagged = placed.selectExpr(*rows, "_bucket", "IF(_on_edge, _id_bucket + 1, 0) AS _part")
+
+    # At most BUCKETS intervals, and one row per part of an edge value.
+    sizes = tagged.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    per_bucket = sizes.groupBy("_bucket").agg(F.sum("_rows").alias("_rows"))
+    earlier_buckets = (
+        Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    bucket_start = per_bucket.select(
+        "_bucket", F.coalesce(F.sum("_rows").over(earlier_buckets), F.lit(0)).alias("_start")
     )
-    # At most 2 * BUCKETS buckets, of which only the edge buckets have parts.
-    sizes = tagged.groupBy("_all", "_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = (
-        Window.partitionBy("_all")
-        .orderBy("_bucket", "_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier_parts = (
+        Window.partitionBy("_bucket").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sizes.select(
-        "_bucket", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    offsets = sizes.join(F.broadcast(bucket_start), "_bucket").select(
+        "_bucket",
+        "_part",
+        (F.col("_start") + F.coalesce(F.sum("_rows").over(earlier_parts), F.lit(0))).alias("_offset"),
     )
     inside = Window.partitionBy("_bucket", "_part").orderBy("_order", identifier)
     return (

@@ -144,7 +144,7 @@ PRESENT = ["event_id", "event_time", "event_type", "product_id", "price", "user_
     "schema_check",
     "\nUNION ALL ".join(
         f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS expected_type, "
-        + (f"true AS present, count({f.name})" if f.name in PRESENT else "false AS present, 0::BIGINT")
+        + (f"true AS present, count({f.name})" if f.name in PRESENT else "false AS present, count(*) * 0")
         + " AS filled_rows FROM event_log"
         for f in EVENTS.fields
     ),

@@ -169,7 +169,7 @@ overall AS (
          CAST(min(event_time) AS DATE) AS first_day FROM event_log),
 checks AS (
   SELECT CAST(event_date AS VARCHAR) AS check_id, CAST(event_date + 1 AS TIMESTAMP) AS as_of,
-         abs(avg(price) / any_value(o.price) - 1) * 3 AS drift_score,
+         abs(avg(dated.price) / any_value(o.price) - 1) * 3 AS drift_score,
          (any_value(o.share) - avg(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END)) * 3 AS accuracy_drop,
          count(*) AS new_rows,
          CASE WHEN day(event_date) > 5 THEN CAST(any_value(first_day) - 20 AS TIMESTAMP) END AS model_created_at,
