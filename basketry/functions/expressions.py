@@ -123,10 +123,17 @@ def error_category(message, status) -> Column:
 
 # --- stable hashing -------------------------------------------------------
 
-# Fixed values of the two-round congruential mix below.
-_MASK = 2147483648
-_FIRST_FACTOR = 1103515245
-_SECOND_FACTOR = 1664525
+# 31-bit arithmetic: a product of two such numbers always fits a bigint.
+_MASK = 2**31 - 1
+_FACTORS = (1540483477, 739982445, 1935289751)
+
+
+def _stir(h: Column) -> Column:
+    """Multiply and fold the high bits down, three times."""
+    for shift, factor in zip((16, 15, 13), _FACTORS):
+        h = h.bitwiseXOR(F.shiftright(h, shift))
+        h = (h * factor).bitwiseAND(_MASK)
+    return h.bitwiseXOR(F.shiftright(h, 16))
 
 
 def id_bucket(identifier, buckets: int, seed: int = 42) -> Column:
@@ -136,11 +143,8 @@ def id_bucket(identifier, buckets: int, seed: int = 42) -> Column:
     recomputed.  Plain bigint arithmetic: no overflow, no string hashing.
     """
     x = _col(identifier).cast("long")
-    low = F.pmod(x, F.lit(_MASK))
-    high = F.shiftright(x, 31)
-    first = F.pmod(low * _FIRST_FACTOR + (12345 + seed), F.lit(_MASK))
-    folded = F.pmod(F.shiftright(first, 16) + low + high + seed, F.lit(_MASK))
-    second = F.pmod(folded * _SECOND_FACTOR + 1013904223, F.lit(_MASK))
-    third = F.pmod(F.shiftright(second, 16) + second, F.lit(_MASK))
-    mixed = F.pmod(third * _FIRST_FACTOR + 12345, F.lit(_MASK))
-    return F.pmod(F.shiftright(mixed, 12), F.lit(buckets))
+    low = x.bitwiseAND(_MASK)
+    high = F.shiftright(x, 31).bitwiseAND(_MASK)
+    start = (low + (seed * 374761393) % _MASK).bitwiseAND(_MASK)
+    mixed = _stir(_stir(start).bitwiseXOR(high))
+    return F.pmod(mixed, F.lit(buckets)).cast("long")

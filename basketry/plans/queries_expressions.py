@@ -71,7 +71,7 @@ def composite_score(t):
     "on_demand_features",
     f"""
     SELECT event_id, round(sin(2 * pi() * hour / 24), 6) + 0.0::DOUBLE AS hour_sin, round(cos(2 * pi() * hour / 24), 6) + 0.0::DOUBLE AS hour_cos,
-           CASE WHEN day_of_week IN (5, 6) THEN 1 ELSE 0 END AS is_weekend, round({PRICE_SHARE_SQL}, 6) AS price_normalized,
+           CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend, round({PRICE_SHARE_SQL}, 6) AS price_normalized,
            round({AFFINITY_SQL}, 6) AS user_product_affinity, round({COMPOSITE_SQL}, 6) AS composite_score
     FROM on_demand_inputs
     """,

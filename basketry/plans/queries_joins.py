@@ -48,9 +48,7 @@ def merge_feature_parts(t):
 def merge_left_fill(t):
     products = t.event_log.groupBy("product_id").agg(F.max("event_time").alias("last_view"))
     carts = (
-        t.event_log.where(
-            (F.col("event_type") == "cart") & (F.col("event_time") >= F.lit("2024-01-28").cast("timestamp"))
-        )
+        t.events_of("cart").where(F.col("event_time") >= F.lit("2024-01-28").cast("timestamp"))
         .groupBy("product_id")
         .agg(F.count(F.lit(1)).alias("carts"))
     )
@@ -287,7 +285,7 @@ def latest_per_product(t):
 def interval_since_last(t):
     from ..functions import expressions as X
 
-    history = t.event_log.where(F.col("event_type") == "purchase").select("event_id", "user_id", "event_time")
+    history = t.events_of("purchase").select("event_id", "user_id", "event_time")
     return joins.previous_time(history, ["user_id"], "event_time", "previous_at").select(
         "event_id",
         "user_id",
@@ -395,7 +393,7 @@ def sort_panel(t):
 def union_parts(t):
     """The event table put together again from its three event types."""
     return ranking.union_parts(
-        [t.event_log.where(F.col("event_type") == kind) for kind in ("view", "cart", "purchase")]
+        [t.events_of(kind) for kind in ("view", "cart", "purchase")]
     )
 
 

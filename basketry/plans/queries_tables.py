@@ -229,7 +229,7 @@ def drop_null_rows(t):
 
 @query("filter_event_type", f"SELECT {LOG_COLUMNS} FROM event_log WHERE event_type = 'purchase'")
 def filter_event_type(t):
-    return cleaning.of_type(t.event_log, "purchase")
+    return cleaning.of_type(t.events_of("purchase"), "purchase")
 
 
 @query("filter_date_range", f"SELECT {LOG_COLUMNS}, event_date FROM dated WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'")

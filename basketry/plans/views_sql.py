@@ -257,15 +257,22 @@ comparison AS (
 """.strip()
 
 
+def _stir_sql(h: str) -> str:
+    mask = 2**31 - 1
+    for shift, factor in zip((16, 15, 13), (1540483477, 739982445, 1935289751)):
+        h = f"((xor({h}, {h} >> {shift}) * {factor}) & {mask})"
+    return f"xor({h}, {h} >> 16)"
+
+
 def id_bucket_sql(identifier: str, buckets: int, seed: int = 42) -> str:
     """The stable hash of ``functions.expressions.id_bucket`` as SQL."""
-    m = 2147483648
-    first = f"((({identifier} % {m}) * 1103515245 + {12345 + seed}) % {m})"
-    folded = f"((({first} >> 16) + ({identifier} % {m}) + ({identifier} >> 31) + {seed}) % {m})"
-    second = f"(({folded} * 1664525 + 1013904223) % {m})"
-    third = f"((({second} >> 16) + {second}) % {m})"
-    mixed = f"(({third} * 1103515245 + 12345) % {m})"
-    return f"(({mixed} >> 12) % {buckets})"
+    mask = 2**31 - 1
+    start = f"((({identifier} & {mask}) + {(seed * 374761393) % mask}) & {mask})"
+    return f"({_stir_sql(_stir_high(start, identifier, mask))} % {buckets})"
+
+
+def _stir_high(start: str, identifier: str, mask: int) -> str:
+    return f"xor({_stir_sql(start)}, (({identifier} >> 31) & {mask}))"
 
 
 def quote(text: str) -> str:

@@ -43,11 +43,13 @@ class Tables:
             F.get_json_object("props", "$.k").cast("long").alias("k"),
         )
 
-    @cached_property
-    def event_log(self) -> DataFrame:
-        """Views, carts and purchases without catalogue columns (no join)."""
+    RAW_TYPES = {"view": "view", "cart": "click", "purchase": "purchase"}
+
+    def events_of(self, *kinds: str) -> DataFrame:
+        """Events of the given types, filtered on the stored type so the scan can use it."""
+        raw = [self.RAW_TYPES[kind] for kind in kinds]
         return (
-            self.all_events.where(F.col("event_type").isin("view", "click", "purchase"))
+            self.all_events.where(F.col("event_type").isin(raw))
             .select(
                 "event_id",
                 "event_time",
@@ -61,6 +63,11 @@ class Tables:
             )
         )
 
+    @cached_property
+    def event_log(self) -> DataFrame:
+        """Views, carts and purchases without catalogue columns (no join)."""
+        return self.events_of("view", "cart", "purchase")
+
     @cached_property
     def catalog(self) -> DataFrame:
         return self.raw("part").select(
@@ -137,7 +144,7 @@ class Tables:
 
     @cached_property
     def purchases(self) -> DataFrame:
-        return self.event_log.where(F.col("event_type") == "purchase").select(
+        return self.events_of("purchase").select(
             "event_id", "user_id", "product_id", F.col("event_time").alias("event_timestamp")
         )
 
@@ -207,7 +214,7 @@ class Tables:
         pairs = features.user_product_stats(self.event_log).select(
             "user_id", "product_id", "user_product_view_count"
         )
-        requests = self.event_log.where(F.col("event_type") == "purchase").select(
+        requests = self.events_of("purchase").select(
             "event_id",
             "user_id",
             "product_id",
