@@ -11,7 +11,11 @@ from .conftest import SMALL
 def split_dir(spark, tmp_path_factory):
     """The small event table in four files, in time order, so that a stream has batches."""
     path = str(tmp_path_factory.mktemp("stream") / "events.parquet")
-    spark.read.parquet(f"{SMALL}/events.parquet").repartitionByRange(4, "ts").write.parquet(path)
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    for start in (1, 8, 16, 24):  # one write per part: files are streamed in order of their age
+        days = F.dayofmonth("ts")
+        end = {1: 8, 8: 16, 16: 24, 24: 32}[start]
+        events.where((days >= start) & (days < end)).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
