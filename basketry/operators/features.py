@@ -142,11 +142,18 @@ def top_values(events: DataFrame, column: str, k: int = 20) -> DataFrame:
     )
 
 
+def _lookup_sizes(events: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Distinct values per column, measured in one pass (within a few percent)."""
+    return events.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+
+
 def frequency_encode(events: DataFrame, columns: list[str]) -> DataFrame:
+    sizes = _lookup_sizes(events, columns)
+    out = events
     for c in columns:
         lookup = value_frequencies(events, c).withColumnRenamed("freq", f"{c}_freq")
-        events = attach(events, lookup, c, "n")
-    return events
+        out = attach(out, lookup, c, "n", lookup_rows=sizes[c])
+    return out
 
 
 def popular_flags(events: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
@@ -160,6 +167,20 @@ def popular_flags(events: DataFrame, columns: list[str], k: int = 20) -> DataFra
     return out
 
 
+def encode_categories(events: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
+    """Frequency and popularity flag together: one lookup and one join per column."""
+    sizes = _lookup_sizes(events, columns)
+    out = events
+    for c in columns:
+        counts = value_frequencies(events, c)
+        top = counts.orderBy(F.desc("n"), F.asc(c)).limit(k).select(c, F.lit(1).alias("_top"))
+        lookup = counts.join(F.broadcast(top), c, "left").select(
+            c, "n", F.col("freq").alias(f"{c}_freq"), F.coalesce("_top", F.lit(0)).alias(f"{c}_is_popular")
+        )
+        out = attach(out, lookup, c, "n", lookup_rows=sizes[c])
+    return out.na.fill(0, [f"{c}_is_popular" for c in columns])
+
+
 ENCODED = ["brand", "category_id", "product_id"]
 
 
@@ -172,7 +193,7 @@ def model_features(events: DataFrame) -> DataFrame:
         F.dayofmonth("event_time").alias("day_of_month"),
         X.is_weekend("event_time").alias("is_weekend"),
     )
-    encoded = popular_flags(frequency_encode(with_calendar, ENCODED), ENCODED)
+    encoded = encode_categories(with_calendar, ENCODED)
     full = attach_user_stats(encoded).withColumn(
         "price_brand_interaction", F.col("price") * F.col("brand_freq")
     )

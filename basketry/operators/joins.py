@@ -23,18 +23,22 @@ def attach(
     weight: str,
     row_id: str = "event_id",
     broadcast_rows: int = BROADCAST_ROWS,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Left join of facts with a table holding one row per key.
 
     ``weight`` is the lookup column with the number of fact rows of the key; it
     is not part of the result.  A lookup of at most ``broadcast_rows`` rows is
-    broadcast after its size has been checked.  A larger one is split: keys
+    broadcast after its size has been checked (by a count, unless the caller has
+    measured ``lookup_rows`` already).  A larger one is split: keys
     owning more than ``HOT_SHARE`` of all rows (at most ``1 / HOT_SHARE`` of
     them) are broadcast, the others are shuffled, and facts that are already
     served (or have no key) are spread by a salt instead of meeting in one task.
     """
     values = [c for c in lookup.columns if c not in (key, weight)]
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if lookup_rows is None:
+        lookup_rows = lookup.limit(broadcast_rows + 1).count()
+    if lookup_rows <= broadcast_rows:
         return facts.join(F.broadcast(lookup.select(key, *values)), key, "left").select(
             *facts.columns, *values
         )

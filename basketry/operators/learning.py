@@ -98,7 +98,7 @@ def logistic(effort: Effort, rows: int, regularisation_c: float = 1.0) -> Logist
     """Inverse strength C corresponds to a penalty of 1 / (C * rows) per row."""
     return LogisticRegression(
         labelCol="target", weightCol="weight", maxIter=effort.linear_rounds,
-        regParam=1.0 / (regularisation_c * max(rows, 1)), standardization=False,
+        regParam=1.0 / (regularisation_c * max(rows, 1)), standardization=False, tol=1e-4,
     )
 
 
@@ -122,7 +122,7 @@ def linear_svm(effort: Effort, rows: int, regularisation_c: float = 1.0) -> Line
     """Linear kernel only; there is no distributed RBF kernel in Spark."""
     return LinearSVC(
         labelCol="target", weightCol="weight", maxIter=effort.linear_rounds,
-        regParam=1.0 / (regularisation_c * max(rows, 1)), standardization=False,
+        regParam=1.0 / (regularisation_c * max(rows, 1)), standardization=False, tol=1e-3,
     )
 
 

@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-COARSE = 32
-BUCKETS = COARSE * COARSE
+BUCKETS = 1024
 
 
 def unpivot(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
@@ -41,30 +40,12 @@ def _marks(column: str) -> Column:
     return F.expr(f"percentile_approx({column}, array({marks}), 10000)")
 
 
-def _coarse(edges: str) -> str:
-    return f"transform(sequence(1, {COARSE - 1}), i -> element_at({edges}, i * {COARSE}))"
-
-
-def _edges_below(edges: str, value: str) -> str:
-    return f"size(filter({edges}, e -> e < {value}))"
-
-
-def _with_bucket(
-    rows: DataFrame, keep: list[str], edges: str, coarse: str, value: str, name: str, only: str = "true"
-) -> DataFrame:
-    """``name`` = number of edges below the value, found in two steps of 31 comparisons
-    (0 without looking where ``only`` is false)."""
-    fine = f"slice({edges}, _step * {COARSE} + 1, {COARSE - 1})"
-    return rows.selectExpr("*", f"IF({only}, {_edges_below(coarse, value)}, 0) AS _step").selectExpr(
-        *keep, f"IF({only}, _step * {COARSE} + {_edges_below(fine, value)}, 0) AS {name}"
-    )
-
-
-def _edges(rows: DataFrame, group: str, value: str) -> DataFrame:
+def _bucket(edges: str, value: str) -> str:
+    """Number of edges below the value: a binary search over the sorted edges."""
+    steps = ", ".join(str(BUCKETS >> i) for i in range(1, BUCKETS.bit_length()))
     return (
-        rows.groupBy(group)
-        .agg(_marks(value).alias("edges"))
-        .selectExpr(group, "edges", f"{_coarse('edges')} AS coarse_edges")
+        f"aggregate(array({steps}), 0, (found, step) ->"
+        f" found + IF(element_at({edges}, found + step) < {value}, step, 0))"
     )
 
 
@@ -73,9 +54,9 @@ def running_totals(
 ) -> DataFrame:
     """Per (group, value) row: ``<m>_before`` (over smaller values), ``<m>_total``
     and ``next_value``.  ``counts`` must hold one row per (group, value)."""
-    tagged = _with_bucket(
-        counts.join(F.broadcast(_edges(counts, group, value)), group),
-        counts.columns, "edges", "coarse_edges", value, "bucket",
+    edges = counts.groupBy(group).agg(_marks(value).alias("edges"))
+    tagged = counts.join(F.broadcast(edges), group).selectExpr(
+        *counts.columns, f"{_bucket('edges', value)} AS bucket"
     )
 
     in_group = Window.partitionBy(group)
@@ -148,24 +129,16 @@ def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "se
     along the identifier.  No bucket can therefore hold a large share of the rows.
     """
     keyed = df.withColumn("_order", F.unix_micros(order))
-    edges = (
-        keyed.agg(_marks("_order").alias("times"), _marks(identifier).alias("ids"))
+    edges = keyed.agg(F.struct(_marks("_order").alias("times"), _marks(identifier).alias("ids"))).scalar()
+    rows = [*df.columns, "_order"]
+    tagged = (
+        keyed.withColumn("_edges", edges)
+        .selectExpr("*", f"{_bucket('_edges.times', '_order')} AS _bucket")
+        .selectExpr("*", "coalesce(try_element_at(_edges.times, _bucket + 1) = _order, false) AS _on_edge")
         .selectExpr(
-            f"struct(times, {_coarse('times')} AS coarse_times, ids, {_coarse('ids')} AS coarse_ids)"
+            *rows, "_bucket", f"IF(_on_edge, {_bucket('_edges.ids', identifier)} + 1, 0) AS _part"
         )
-        .scalar()
-    )
-    rows = [*df.columns, "_order"]
-    timed = _with_bucket(
-        keyed.withColumn("_edges", edges), [*rows, "_edges"],
-        "_edges.times", "_edges.coarse_times", "_order", "_bucket",
-    )
-    on_edge = "coalesce(try_element_at(_edges.times, _bucket + 1) = _order, false)"
-    placed = _with_bucket(
-        timed.selectExpr("*", f"{on_edge} AS _on_edge"), [*rows, "_bucket", "_on_edge"],
-        "_edges.ids", "_edges.coarse_ids", identifier, "_id_bucket", "_on_edge",
     )
-    tagged = placed.selectExpr(*rows, "_bucket", "IF(_on_edge, _id_bucket + 1, 0) AS _part")
 
     # At most BUCKETS intervals, and one row per part of an edge value.
     sizes = tagged.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))

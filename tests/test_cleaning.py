@@ -117,3 +117,11 @@ def test_trailing_window_has_no_row_loss_with_gaps(spark):
     assert dates == {"2024-01-04": ("2024-01-01", "2024-01-03")}
     got = {(str(r["target_date"]), r["product_id"]): r["total_events"] for r in features.demand_dataset(df, 2).collect()}
     assert got == {("2024-01-04", 1): 2, ("2024-01-04", 2): 1}
+
+
+def test_joint_encoding_equals_the_separate_operators(tables):
+    joint = features.encode_categories(tables.shop_events, features.ENCODED)
+    apart = features.popular_flags(
+        features.frequency_encode(tables.shop_events, features.ENCODED), features.ENCODED
+    ).select(joint.columns)
+    assert joint.exceptAll(apart).count() == 0 and apart.exceptAll(joint).count() == 0
