@@ -28,7 +28,7 @@ from .sampling import random_split, smote_oversample, stratified_split
 
 @dataclass(frozen=True)
 class Effort:
-    """Rounds and sizes of the iterative learners; the defaults are the reference sizes."""
+    """Rounds and sizes of the iterative learners; the defaults are the full sizes."""
 
     linear_rounds: int = 1000
     trees: int = 200
@@ -71,14 +71,24 @@ class TrainingSet:
 
 
 def classification_set(
-    features: DataFrame, columns: list[str] = MODEL_FEATURES, oversample: bool = False
+    features: DataFrame,
+    columns: list[str] = MODEL_FEATURES,
+    oversample: bool = False,
+    exact_shares: bool = False,
 ) -> TrainingSet:
-    """Stratified split, scaling fitted on the training part, optional oversampling.
+    """70/30 split, scaling fitted on the training part, optional oversampling.
+
+    The split is decided row by row from the id, which keeps the label shares up
+    to sampling error; ``exact_shares`` costs a shuffle of the feature table.
 
     The learners read their input many times, so both parts are written to the
     shared folder first: a lost executor costs a re-read, not the feature joins.
     """
-    split = materialize(stratified_split(features, "event_id", "target"), "split")
+    if exact_shares:
+        split = stratified_split(materialize(features, "features"), "event_id", "target")
+    else:
+        split = random_split(features, "event_id")
+    split = materialize(split, "split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     scaled_train = standard_scale(train, columns).drop("split")
     scaled_test = standard_scale(test, columns, fitted_on=train).drop("split")

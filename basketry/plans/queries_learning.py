@@ -7,7 +7,7 @@ from ..operators import features, learning, metrics, sampling
 from ..session import materialize
 from .registry import query
 
-# Small rounds keep the check short; the reference sizes are the defaults of Effort.
+# Small rounds keep the check short; the full sizes are the defaults of Effort.
 QUICK = learning.Effort(
     linear_rounds=20, trees=10, tree_depth=5, demand_trees=10, demand_depth=5, boosting_rounds=5
 )

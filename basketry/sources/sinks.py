@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 def write_processed(df: DataFrame, path: str) -> None:
     """Snappy parquet, one directory per event date so date filters prune.
 
-    Rows of a date are spread over writers by the id, so one busy day is not
-    written by one task; AQE sizes the output files.
+    The rebalance hint gathers the rows of a date before writing, so a task does
+    not open a file per date; AQE splits a date with very many rows over several
+    tasks and joins small ones.
     """
     (
         df.withColumn("event_date", F.to_date("event_time"))
+        .hint("rebalance", "event_date")
         .write.partitionBy("event_date")
         .option("compression", "snappy")
         .mode("errorifexists")
