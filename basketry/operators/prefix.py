@@ -37,16 +37,23 @@ def value_counts(long: DataFrame, group: str = "column", value: str = "value") -
 def _marks(column: str) -> Column:
     """The inner edges of ``BUCKETS`` buckets of about equal size, as one array."""
     marks = ", ".join(f"{i / BUCKETS!r}D" for i in range(1, BUCKETS))
-    return F.expr(f"percentile_approx({column}, array({marks}), 10000)")
+    return F.expr(f"percentile_approx({column}, array({marks}), {4 * BUCKETS})")
 
 
-def _bucket(edges: str, value: str) -> str:
-    """Number of edges below the value: a binary search over the sorted edges."""
-    steps = ", ".join(str(BUCKETS >> i) for i in range(1, BUCKETS.bit_length()))
-    return (
-        f"aggregate(array({steps}), 0, (found, step) ->"
-        f" found + IF(element_at({edges}, found + step) < {value}, step, 0))"
-    )
+def _with_bucket(df: DataFrame, edges: Column, value: Column, name: str) -> DataFrame:
+    """Adds the number of edges below the value: a binary search, one projection a step.
+
+    Plain projections stay in generated code and read the edge array in place; a
+    lambda over the edges would copy the whole array into every row first.
+    """
+    found = F.lit(0)
+    step = BUCKETS
+    while step > 1:
+        step //= 2
+        further = F.when(F.element_at(edges, found + step) < value, step).otherwise(0)
+        df = df.withColumn(name, found + further)
+        found = F.col(name)
+    return df
 
 
 def running_totals(
@@ -55,9 +62,9 @@ def running_totals(
     """Per (group, value) row: ``<m>_before`` (over smaller values), ``<m>_total``
     and ``next_value``.  ``counts`` must hold one row per (group, value)."""
     edges = counts.groupBy(group).agg(_marks(value).alias("edges"))
-    tagged = counts.join(F.broadcast(edges), group).selectExpr(
-        *counts.columns, f"{_bucket('edges', value)} AS bucket"
-    )
+    tagged = _with_bucket(
+        counts.join(F.broadcast(edges), group), F.col("edges"), F.col(value), "bucket"
+    ).drop("edges")
 
     in_group = Window.partitionBy(group)
     earlier = in_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,16 +136,14 @@ def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "se
     along the identifier.  No bucket can therefore hold a large share of the rows.
     """
     keyed = df.withColumn("_order", F.unix_micros(order))
-    edges = keyed.agg(F.struct(_marks("_order").alias("times"), _marks(identifier).alias("ids"))).scalar()
-    rows = [*df.columns, "_order"]
-    tagged = (
-        keyed.withColumn("_edges", edges)
-        .selectExpr("*", f"{_bucket('_edges.times', '_order')} AS _bucket")
-        .selectExpr("*", "coalesce(try_element_at(_edges.times, _bucket + 1) = _order, false) AS _on_edge")
-        .selectExpr(
-            *rows, "_bucket", f"IF(_on_edge, {_bucket('_edges.ids', identifier)} + 1, 0) AS _part"
-        )
-    )
+    times = keyed.agg(_marks("_order")).scalar()
+    ids = keyed.agg(_marks(identifier)).scalar()
+    placed = _with_bucket(keyed, times, F.col("_order"), "_bucket")
+    placed = _with_bucket(placed, ids, F.col(identifier), "_id_bucket")
+    on_edge = F.coalesce(F.try_element_at(times, F.col("_bucket") + 1) == F.col("_order"), F.lit(False))
+    tagged = placed.withColumn(
+        "_part", F.when(on_edge, F.col("_id_bucket") + 1).otherwise(0)
+    ).drop("_id_bucket")
 
     # At most BUCKETS intervals, and one row per part of an edge value.
     sizes = tagged.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))
