@@ -117,7 +117,10 @@ def user_price_stats(events: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def attach_user_stats(events: DataFrame) -> DataFrame:
-    return attach(events, user_price_stats(events, weight="_rows"), "user_id", "_rows")
+    users = _lookup_sizes(events, ["user_id"])["user_id"]
+    return attach(
+        events, user_price_stats(events, weight="_rows"), "user_id", "_rows", lookup_rows=users
+    )
 
 
 # --- categorical encodings ---------------------------------------------------------
