@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
-from .support import prepare
+from . import language, minhash, mixing, packing, token_files
+from .support import is_held_out, prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,62 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_boundaries(_table(spark, sf_dir, "documents"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+#: Links at a Jaccard similarity of 0.85 on 3-word shingles.
+OP8 = minhash.Settings(shingle=3, percent=85)
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), OP8)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.label(docs, language.train(docs, ~is_held_out()))
+    return found.select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_files": op4_token_files,
+    "op5_source_mixing": op5_source_mixing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Shares by weight, cut at three times a source's size; whole documents by seeded order, the last in part.
+OP5_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(concat_ws(':', '17', coalesce(CAST(doc_id AS VARCHAR), ''), md5(text))) AS place
+  FROM documents),
+listed AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][((row_number() OVER (ORDER BY source COLLATE "C" ASC NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, 3 * source_size AS cap, (SELECT sum(source_size) FROM listed)::BIGINT AS total,
+         coalesce(sum(3 * source_size) OVER before_it, 0)::BIGINT AS capped,
+         sum(weight) OVER from_it AS weights
+  FROM listed
+  WINDOW before_it AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         from_it AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+level AS (
+  SELECT min_by((total - capped) / weights::DOUBLE, 3 * source_size / weight) AS x FROM levels
+  WHERE (total - capped) / weights::DOUBLE * weight <= cap),
+targets AS (SELECT source, source_size, least((SELECT x FROM level) * weight, cap::DOUBLE) AS target FROM levels),
+placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target,
+         floor(t.target)::BIGINT // nullif(t.source_size, 0) AS base, floor(t.target)::BIGINT % nullif(t.source_size, 0) AS rest,
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       coalesce(size * base + greatest(0, least(rest - earlier, size)), 0)::BIGINT AS taken
+FROM placed
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL}
