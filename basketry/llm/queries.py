@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, mixing, packing, token_files
+from . import language, minhash, mixing, outliers, packing, pseudonyms, token_files
 from .support import is_held_out, prepare
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.reject_outliers(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
@@ -28,6 +32,14 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+#: Key of the registered queries.  A production run passes a secret of its own.
+OP6_KEY = "basketry-documents"
+
+
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(_table(spark, sf_dir, "documents"), OP6_KEY)
+
+
 #: Links at a Jaccard similarity of 0.85 on 3-word shingles.
 OP8 = minhash.Settings(shingle=3, percent=85)
 
@@ -43,9 +55,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_robust_outliers": op1_robust_outliers,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_files": op4_token_files,
     "op5_source_mixing": op5_source_mixing,
+    "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
