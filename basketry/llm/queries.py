@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, minhash, mixing, outliers, packing, pseudonyms, token_files
+from . import language, minhash, mixing, outliers, packing, pseudonyms, substrings, token_files
 from .support import is_held_out, prepare
 
 
@@ -48,6 +48,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), OP8)
 
 
+def op9_fm_index_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language.label(docs, language.train(docs, ~is_held_out()))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
     "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_fm_index_substrings": op9_fm_index_substrings,
     "op10_language_id": op10_language_id,
 }
 
