@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, minhash, mixing, outliers, packing, pseudonyms, substrings, token_files
+from . import kdtree, language, minhash, mixing, outliers, packing, preferences, pseudonyms, substrings, token_files
 from .support import is_held_out, prepare
 
 
@@ -18,6 +19,10 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.reject_outliers(_table(spark, sf_dir, "documents"))
 
 
+def op2_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
@@ -40,6 +45,12 @@ def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymize(_table(spark, sf_dir, "documents"), OP6_KEY)
 
 
+def op7_preference_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = preferences.train(docs, _table(spark, sf_dir, "labels"), ~is_held_out())
+    return preferences.score(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
+
+
 #: Links at a Jaccard similarity of 0.85 on 3-word shingles.
 OP8 = minhash.Settings(shingle=3, percent=85)
 
@@ -60,10 +71,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
+    "op2_kd_tree_top_k": op2_kd_tree_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_files": op4_token_files,
     "op5_source_mixing": op5_source_mixing,
     "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
+    "op7_preference_quality": op7_preference_quality,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_fm_index_substrings": op9_fm_index_substrings,
     "op10_language_id": op10_language_id,
@@ -101,4 +114,18 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_source_mixing": OP5_SQL}
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_kd_tree_top_k": OP2_SQL, "op5_source_mixing": OP5_SQL}
