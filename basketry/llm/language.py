@@ -278,6 +278,36 @@ def label(docs: DataFrame, model: Model, settings: Settings = Settings(), spans:
     return clash_free(docs, ["doc_id", "text"]).mapInPandas(run, f"doc_id long, {fields}")
 
 
+def keep_known(
+    docs: DataFrame, model: Model, settings: Settings = Settings(), least_score: float = 0.2
+) -> DataFrame:
+    """The rows of ``docs`` with a recognized language, all columns as they are.
+
+    Rows that are ``und`` or score below ``least_score`` go; a null ``lang`` is filled with the prediction.
+    """
+    import pyarrow as pa
+
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    penalty = settings.switch_penalty
+    text_at, lang_at = (docs.columns.index(c) for c in ("text", "lang"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = word_table(shared.value)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            found = []
+            for a in range(0, len(texts), 500):
+                found += document_labels(table, texts[a : a + 500], penalty, False)
+            known = batch.column(lang_at).to_pylist()
+            langs = pa.array([r[0] if x is None else x for r, x in zip(found, known)], batch.schema.field(lang_at).type)
+            columns = [langs if i == lang_at else c for i, c in enumerate(batch.columns)]
+            good = pa.array([r[0] != UND and r[1] >= least_score for r in found], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(good)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def word_table(model: Model) -> WordTable:
     """The worker's table for a model that was broadcast once."""
     held = getattr(model, "table", None)
