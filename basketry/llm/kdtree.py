@@ -15,8 +15,9 @@ bound equals the k-th score is still visited.
 Defined results: vectors that are null, empty or hold a null or a number that is
 not finite take no part, nor do rows without an id; vectors of different length
 are not compared; a repeated query row is answered once; a repeated candidate row
-is a candidate each time, but rows with the query's own id never are; an empty
-table gives no rows; other columns are ignored.
+is a candidate each time, but rows with the query's own id never are; scores
+beyond a long are given as the largest or smallest long; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -193,7 +194,8 @@ def _searcher(sent, largest: int, settings: Settings):
                     points = np.array([queries[i][1] for i in part], np.int64).astype(kind)
                     for i, point, bounds in zip(part, points, tree.bounds(points)):
                         search(tree, point, queries[i][0], bounds, best[i], settings.k)
-        rows = [(i, queries[i][0], -e[1], e[0]) for i, entries in enumerate(best) for e in entries]
+        fit = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+        rows = [(i, queries[i][0], -e[1], fit(e[0])) for i, entries in enumerate(best) for e in entries]
         yield pd.DataFrame(rows, columns=["query", "query_id", "vec_id", "score"], dtype="int64")
 
     return run
