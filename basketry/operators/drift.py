@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..session import materialize
 from .cleaning import null_profile
 from .prefix import running_totals, unpivot
 from .profile import bin_index
@@ -14,30 +15,37 @@ BINS = 10
 EMPTY_SHARE = 0.0001
 
 
-def _both(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, is_current) of the non-null values of both tables."""
-    return (
-        unpivot(reference, columns)
-        .withColumn("is_current", F.lit(0))
-        .unionByName(unpivot(current, columns).withColumn("is_current", F.lit(1)))
-        .where(F.col("value").isNotNull())
-    )
+def value_counts_by(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """(keys..., column, value, n); nulls are values of their own.  Additive over parts of a table."""
+    return unpivot(df, columns, keys).groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def side_counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, ref, cur): one pass over each table, written once; all figures follow from it."""
+    ref = value_counts_by(reference, columns, []).withColumnRenamed("n", "ref").withColumn("cur", F.lit(0))
+    cur = value_counts_by(current, columns, []).withColumnRenamed("n", "cur").withColumn("ref", F.lit(0))
+    both = ref.unionByName(cur).groupBy("column", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    return materialize(both, "drift-counts")
 
 
 def psi(
     reference: DataFrame, current: DataFrame, columns: list[str], bins: int = BINS
 ) -> DataFrame:
     """Population stability index over equal-width bins spanning both samples."""
-    long = _both(reference, current, columns)
+    return psi_of(side_counts(reference, current, columns), bins)
+
+
+def psi_of(counts: DataFrame, bins: int = BINS) -> DataFrame:
+    known = counts.where(F.col("value").isNotNull())
     # One row per column: as small as the column list.
-    limits = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    binned = long.join(F.broadcast(limits), "column").withColumn(
+    limits = known.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    binned = known.join(F.broadcast(limits), "column").withColumn(
         "bin", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins)
     )
 
     per_bin = binned.groupBy("column", "bin").agg(
-        F.count_if(F.col("is_current") == 0).alias("ref"),
-        F.count_if(F.col("is_current") == 1).alias("cur"),
+        F.sum("ref").alias("ref"),
+        F.sum("cur").alias("cur"),
         F.min("lo").alias("lo"),
         F.max("hi").alias("hi"),
     )
@@ -55,19 +63,9 @@ def psi(
     )
 
 
-def _distribution_rows(
-    reference: DataFrame, current: DataFrame, columns: list[str]
-) -> DataFrame:
+def _distribution_rows(counts: DataFrame) -> DataFrame:
     """Distinct values with both cumulative shares (inclusive) and the next value."""
-    counts = (
-        _both(reference, current, columns)
-        .groupBy("column", "value")
-        .agg(
-            F.count_if(F.col("is_current") == 0).alias("ref"),
-            F.count_if(F.col("is_current") == 1).alias("cur"),
-        )
-    )
-    running = running_totals(counts, ["ref", "cur"])
+    running = running_totals(counts.where(F.col("value").isNotNull()), ["ref", "cur"])
 
     def cumulative(m: str) -> Column:
         return F.try_divide(F.col(f"{m}_before") + F.col(m), F.col(f"{m}_total"))
@@ -90,7 +88,11 @@ def kolmogorov_p(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
 
 def distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """KS statistic, its p-value and the Wasserstein distance from one set of totals."""
-    rows = _distribution_rows(reference, current, columns)
+    return distances_of(side_counts(reference, current, columns))
+
+
+def distances_of(counts: DataFrame) -> DataFrame:
+    rows = _distribution_rows(counts)
     return (
         rows.groupBy("column")
         .agg(
@@ -133,41 +135,61 @@ def missing_rate_change(
     )
 
 
-def side_statistics(df: DataFrame, columns: list[str], prefix: str) -> DataFrame:
-    return (
-        unpivot(df, columns)
-        .groupBy("column")
-        .agg(
-            F.min("value").alias(f"{prefix}_min"),
-            F.max("value").alias(f"{prefix}_max"),
-            F.avg("value").alias(f"{prefix}_mean"),
-            F.stddev_samp("value").alias(f"{prefix}_std"),
-        )
+def side_statistics(counts: DataFrame) -> DataFrame:
+    """Minimum, maximum, mean, deviation and missing share of both sides, one row per column."""
+    sides = {"reference": "ref", "current": "cur"}
+    value, known = F.col("value"), F.col("value").isNotNull()
+
+    def present(m: str, of: Column) -> Column:
+        return F.when(F.col(m) > 0, of)
+
+    means = counts.groupBy("column").agg(
+        *[
+            F.try_divide(F.sum(value * F.col(m)), F.sum(F.when(known, F.col(m)))).alias(f"{side}_mean")
+            for side, m in sides.items()
+        ]
     )
+    figures = []
+    for side, m in sides.items():
+        gap = value - F.col(f"{side}_mean")
+        n = F.sum(F.when(known, F.col(m)))
+        figures += [
+            F.min(present(m, value)).alias(f"{side}_min"),
+            F.max(present(m, value)).alias(f"{side}_max"),
+            F.max(f"{side}_mean").alias(f"{side}_mean"),
+            F.sqrt(F.try_divide(F.sum(F.col(m) * gap * gap), F.nullif(n - 1, F.lit(0)))).alias(f"{side}_std"),
+            F.try_divide(F.sum(F.when(~known, F.col(m)).otherwise(0)), F.sum(m)).alias(f"{side}_rate"),
+        ]
+    # One row per column.
+    return counts.join(F.broadcast(means), "column").groupBy("column").agg(*figures)
 
 
 def range_violations(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """Statistics of both sides, a violation flag and the mean change in percent."""
+    statistics = side_statistics(side_counts(reference, current, columns))
+    return violations_of(statistics.drop("reference_rate", "current_rate"))
+
+
+def violations_of(statistics: DataFrame) -> DataFrame:
     ref_mean, cur_mean = F.col("reference_mean"), F.col("current_mean")
     outside = (F.col("current_min") < F.col("reference_min")) | (
         F.col("current_max") > F.col("reference_max")
     )
     change = F.abs((cur_mean - ref_mean) / F.nullif(ref_mean, F.lit(0.0))) * 100
-    return (
-        side_statistics(reference, columns, "reference")
-        .join(side_statistics(current, columns, "current"), "column")
-        .withColumn("violation", F.when(outside, 1).otherwise(0))
-        .withColumn("mean_change_pct", F.coalesce(change, F.lit(0.0)))
+    return statistics.withColumn("violation", F.when(outside, 1).otherwise(0)).withColumn(
+        "mean_change_pct", F.coalesce(change, F.lit(0.0))
     )
 
 
 def drift_detail(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """All distances and the statistics of both sides, one row per column."""
+    """All distances and the statistics of both sides, one row per column; one pass over each table."""
+    counts = side_counts(reference, current, columns)
+    statistics = violations_of(side_statistics(counts))
     return (
-        psi(reference, current, columns)
-        .join(distances(reference, current, columns), "column")
-        .join(range_violations(reference, current, columns), "column")
-        .join(missing_rate_change(reference, current, columns), "column")
+        psi_of(counts)
+        .join(distances_of(counts), "column")
+        .join(statistics, "column")
+        .withColumn("difference", F.col("current_rate") - F.col("reference_rate"))
     )
 
 
@@ -196,6 +218,74 @@ def drift_summary(
     )
 
 
+def daily_summary(
+    reference: DataFrame,
+    current: DataFrame,
+    total_columns: int,
+    psi_limit: float = V.PSI_LIMIT,
+    ks_limit: float = V.KS_LIMIT,
+    fine: int = 100,
+) -> DataFrame:
+    """Drift of each day in ``current`` (day, column, value, n) from ``reference`` (column, value, n).
+
+    The reference is reduced once to its range, its missing share and its counts
+    in ``fine`` equal-width bins of that range; values beyond the range fall into
+    the outer bins.  PSI is taken over tenths of the range, KS at all bin edges.
+    """
+    known = F.col("value").isNotNull()
+    limits = reference.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    place = F.least(F.greatest(F.col("value"), F.col("lo")), F.col("hi"))
+    # One row per column.
+    binned = lambda df: df.where(known).join(F.broadcast(limits), "column").withColumn(
+        "bin", bin_index(place, F.col("lo"), F.col("hi"), fine)
+    )
+    ref = binned(reference).groupBy("column", "bin").agg(F.sum("n").alias("ref"))
+    cur = binned(current).groupBy("day", "column", "bin").agg(F.sum("n").alias("cur"))
+    days = current.select("day", "column").distinct()
+    # At most ``fine`` rows per day and column.
+    cells = (
+        days.join(ref, "column")
+        .select("day", "column", "bin", "ref", F.lit(0).cast("long").alias("cur"))
+        .unionByName(cur.withColumn("ref", F.lit(0).cast("long")))
+        .groupBy("day", "column", "bin")
+        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    )
+    own = Window.partitionBy("day", "column")
+    share = lambda m, w: F.try_divide(F.sum(m).over(w), F.sum(m).over(own))
+    upto = own.orderBy("bin")
+    gaps = cells.withColumn("gap", F.abs(share("ref", upto) - share("cur", upto)))
+    ks = gaps.groupBy("day", "column").agg(F.max("gap").alias("ks_statistic"))
+    tenths = cells.groupBy("day", "column", F.floor(F.col("bin") / (fine // BINS)).alias("tenth")).agg(
+        F.sum("ref").alias("ref"), F.sum("cur").alias("cur")
+    )
+    part = lambda m: F.try_divide(F.col(m), F.sum(m).over(own))
+    filled = lambda m: F.when(F.coalesce(part(m), F.lit(0.0)) == 0, EMPTY_SHARE).otherwise(part(m))
+    shares = tenths.select("day", "column", filled("ref").alias("r"), filled("cur").alias("c"))
+    term = (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))
+    index = shares.groupBy("day", "column").agg(F.sum(term).alias("psi"))
+    figures = current.join(F.broadcast(limits), "column").groupBy("day", "column").agg(
+        F.try_divide(F.sum(F.when(~known, F.col("n")).otherwise(0)), F.sum("n")).alias("missing"),
+        F.max(F.when((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")), 1).otherwise(0)).alias("outside"),
+    )
+    drifted = (F.col("psi") > psi_limit) | (F.col("ks_statistic") > ks_limit)
+    return (
+        figures.join(index, ["day", "column"], "left")
+        .join(ks, ["day", "column"], "left")
+        .groupBy("day")
+        .agg(
+            F.max("psi").alias("drift_score"),
+            F.count_if(drifted).alias("drifted_columns"),
+            F.lit(total_columns).cast("long").alias("total_columns"),
+            F.max("missing").alias("max_missing_rate"),
+            F.sum("outside").alias("range_violations"),
+        )
+        .withColumn(
+            "dataset_drift",
+            F.when(F.col("drifted_columns") * 2 >= F.col("total_columns"), 1).otherwise(0),
+        )
+    )
+
+
 def quality_tests(
     reference: DataFrame,
     current: DataFrame,

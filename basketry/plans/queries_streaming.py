@@ -20,8 +20,7 @@ from .registry import query
 )
 def stream_inference_metrics(t):
     stream = jobs.request_stream(jobs.event_stream(t.spark, t.sf_dir))
-    updates = jobs.collect_batches(jobs.inference_metrics(stream, t.MODELS), "inference", "update")
-    return jobs.latest_update(updates, ["window_start", "model"])
+    return jobs.current_inference(jobs.collect_parts(stream, jobs.inference_parts, "inference"))
 
 
 @query(
@@ -30,9 +29,7 @@ def stream_inference_metrics(t):
        FROM all_events GROUP BY user_id""",
 )
 def stream_user_activity(t):
-    stream = jobs.event_stream(t.spark, t.sf_dir)
-    updates = jobs.collect_batches(jobs.user_activity(stream), "activity", "update")
-    return jobs.latest_update(updates, ["user_id"])
+    return jobs.user_activity(jobs.event_stream(t.spark, t.sf_dir))
 
 
 @query(
@@ -48,17 +45,51 @@ def stream_user_activity(t):
 def stream_shadow_compare(t):
     production = jobs.score_stream(jobs.event_stream(t.spark, t.sf_dir), "production")
     shadow = jobs.score_stream(jobs.event_stream(t.spark, t.sf_dir), "shadow")
-    compared = jobs.collect_batches(jobs.shadow_compare(production, shadow), "shadow")
+    compared = jobs.pair_scores(production, shadow)
     return decisions.shadow_rates(compared.withColumn("day", F.to_date("event_time")), ["day"]).select(
         "day", "total_requests", "major_rate", "mismatch_rate", "recommendation"
     )
 
 
-@query("stream_drift_monitor")
+# The reference is the first half of the table, so the later days can move away from it.
+DRIFT_SQL = """
+    WITH long AS (
+      SELECT CAST(event_time AS DATE) AS day, event_time < TIMESTAMP '2024-01-16' AS is_ref, 'value' AS c, value::DOUBLE AS v FROM all_events
+      UNION ALL SELECT CAST(event_time AS DATE), event_time < TIMESTAMP '2024-01-16', 'k', k::DOUBLE FROM all_events),
+    lim AS (SELECT c, min(v) AS lo, max(v) AS hi FROM long WHERE is_ref GROUP BY c),
+    cells AS (
+      SELECT l.*, lim.lo, lim.hi, CASE WHEN v IS NULL THEN NULL WHEN lim.hi = lim.lo THEN 0 ELSE
+        least(floor((least(greatest(v, lim.lo), lim.hi) - lim.lo) / ((lim.hi - lim.lo) / 100)), 99) END AS bin
+      FROM long l JOIN lim USING (c)),
+    ref AS (SELECT c, bin, count(*) AS r FROM cells WHERE is_ref AND bin IS NOT NULL GROUP BY 1, 2),
+    cur AS (SELECT day, c, bin, count(*) AS n FROM cells WHERE bin IS NOT NULL GROUP BY 1, 2, 3),
+    grid AS (
+      SELECT day, c, bin, sum(r) AS r, sum(n) AS n FROM (
+        SELECT d.day, ref.c, ref.bin, r, 0 AS n FROM ref JOIN (SELECT DISTINCT day, c FROM cells) d USING (c)
+        UNION ALL SELECT day, c, bin, 0, n FROM cur) GROUP BY 1, 2, 3),
+    ks AS (
+      SELECT day, c, max(gap) AS ks FROM (
+        SELECT day, c, abs(sum(r) OVER w / sum(r) OVER a - sum(n) OVER w / sum(n) OVER a) AS gap FROM grid
+        WINDOW a AS (PARTITION BY day, c), w AS (PARTITION BY day, c ORDER BY bin)) GROUP BY 1, 2),
+    tenths AS (SELECT day, c, floor(bin / 10) AS t, sum(r) AS r, sum(n) AS n FROM grid GROUP BY 1, 2, 3),
+    psi AS (
+      SELECT day, c, sum((n - r) * ln(n / r)) AS psi FROM (
+        SELECT day, c, CASE WHEN r = 0 THEN 0.0001 ELSE r / sum(r) OVER a END AS r, CASE WHEN n = 0 THEN 0.0001 ELSE n / sum(n) OVER a END AS n
+        FROM tenths WINDOW a AS (PARTITION BY day, c)) GROUP BY 1, 2),
+    fig AS (SELECT day, c, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS missing, max(CASE WHEN v < lo OR v > hi THEN 1 ELSE 0 END) AS outside
+            FROM cells GROUP BY 1, 2)
+    SELECT day, round(max(psi), 6) AS drift_score, count(*) FILTER (psi > 0.2 OR ks > 0.1) AS drifted_columns, 2::BIGINT AS total_columns,
+           round(max(missing), 6) AS max_missing_rate, sum(outside)::BIGINT AS range_violations,
+           CASE WHEN 2 * count(*) FILTER (psi > 0.2 OR ks > 0.1) >= 2 THEN 1 ELSE 0 END AS dataset_drift
+    FROM fig LEFT JOIN psi USING (day, c) LEFT JOIN ks USING (day, c) GROUP BY day
+    """
+
+
+@query("stream_drift_monitor", DRIFT_SQL)
 def stream_drift_monitor(t):
-    stream = jobs.event_stream(t.spark, t.sf_dir).select("value", F.col("k").cast("double").alias("k"))
-    reference = t.all_events.where(F.col("event_type") == "view").select(
-        (F.col("value") * 1.5).alias("value"), F.col("k").cast("double").alias("k")
+    stream = jobs.event_stream(t.spark, t.sf_dir).withColumn("k", F.col("k").cast("double"))
+    reference = t.all_events.where(F.col("event_time") < F.lit("2024-01-16").cast("timestamp")).select(
+        "value", F.col("k").cast("double").alias("k")
     )
     return jobs.drift_monitor(stream, reference, ["value", "k"])
 

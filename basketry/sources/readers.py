@@ -38,15 +38,20 @@ def stable_sample(df: DataFrame, fraction: float = 0.05, id_col: str = "event_id
 
 def incremental_read(
     spark: SparkSession,
-    directory: str,
-    file_glob: str,
+    path: str,
     schema: T.StructType,
-    files_per_trigger: int = 1,
+    file_format: str = "parquet",
+    bytes_per_trigger: int = 1 << 30,
+    options: dict[str, object] | None = None,
 ) -> DataFrame:
-    """The files of a directory as a stream, a few files per micro-batch."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(directory)
-    )
+    """A file or a folder of files as a stream, in micro-batches of about ``bytes_per_trigger``.
+
+    The size of a batch follows the volume, not the number of files.  CSV files
+    are read with ``options`` such as ``header``.
+    """
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger)
+    for name, value in (options or {}).items():
+        reader = reader.option(name, value)
+    # A pattern that matches this one name: without one, a stream takes folders only.
+    name = path.rstrip("/")
+    return reader.format(file_format).load(f"{name[:-1]}[{name[-1]}]")

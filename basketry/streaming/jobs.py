@@ -1,11 +1,13 @@
 """Structured Streaming jobs over the event log.
 
-Each job is a transformation of a streaming DataFrame plus a sink writing
-parquet by micro-batch into the shared folder, so a repeated micro-batch
-replaces its own output.  The column expressions are those of the batch
-operators.  Late data: watermark of ten minutes; rows later than that are left
-out by the stateful operators and counted in the query progress
-(``numRowsDroppedByWatermark``).
+Jobs whose result must hold every event are built from additive parts: each
+micro-batch writes its own counts into the shared folder, a repeated batch
+replaces its own part, and the current result is an aggregate of the parts.  It
+does not depend on the order or the lateness of events, and no state is kept.
+
+Jobs that must emit while the stream runs (closed windows, pairs of scores) keep
+state and take the allowed lateness as an argument; ``collect_batches`` raises if
+any row was dropped as too late, unless the caller allows it.
 """
 
 from __future__ import annotations
@@ -15,19 +17,24 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import alerts, decisions, drift, metrics
+from ..operators import alerts, decisions, drift
 from ..operators.features import count_type
 from ..session import new_path
 from ..sources.readers import incremental_read
 
-WATERMARK = "10 minutes"
+LATENESS = "10 minutes"
 WINDOW = "5 minutes"
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event files of a directory as a stream, time cast so that it can be a watermark."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    raw = incremental_read(spark, sf_dir, "events.parquet", schema)
+def event_stream(spark: SparkSession, sf_dir: str, bytes_per_trigger: int = 1 << 30) -> DataFrame:
+    """The event table, a file or a folder of files, as a stream; time cast so that it can be a watermark."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    return typed_events(
+        incremental_read(spark, path, spark.read.parquet(path).schema, bytes_per_trigger=bytes_per_trigger)
+    )
+
+
+def typed_events(raw: DataFrame) -> DataFrame:
     return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -69,15 +76,6 @@ def _batch_files(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def collect_batches(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run to completion and read back what all micro-batches wrote."""
-    spark = stream.sparkSession
-    path = new_path(spark, name)
-    run_batches(stream, _batch_files(path), name, mode)
-    schema = stream.withColumn("batch_id", F.lit(0).cast("long")).schema
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
-
-
 def latest_update(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Newest version of every key written by an update-mode query."""
     others = [c for c in updates.columns if c not in (*keys, "batch_id")]
@@ -88,12 +86,79 @@ def latest_update(updates: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+class LateRows(RuntimeError):
+    """A stateful job dropped rows that came after the allowed lateness."""
+
+
+def dropped_rows(query) -> int:
+    """Rows that the stateful operators of a finished query left out as too late."""
+    return sum(
+        int(state.numRowsDroppedByWatermark) for progress in query.recentProgress for state in progress.stateOperators
+    )
+
+
+def collect_batches(stream: DataFrame, name: str, mode: str = "append", allow_late: bool = False) -> DataFrame:
+    """Run to completion and read back what all micro-batches wrote."""
+    spark = stream.sparkSession
+    path = new_path(spark, name)
+    late = dropped_rows(run_batches(stream, _batch_files(path), name, mode))
+    if late and not allow_late:
+        raise LateRows(f"{name}: {late} rows came later than the allowed lateness")
+    schema = stream.withColumn("batch_id", F.lit(0).cast("long")).schema
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
+def collect_parts(stream: DataFrame, part: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Run to completion; ``part`` of every micro-batch, one below the other."""
+    spark = stream.sparkSession
+    path = new_path(spark, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    run_batches(stream, write, name)
+    schema = part(spark.createDataFrame([], stream.schema)).schema
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
 # --- jobs ---------------------------------------------------------------------------
 
-def inference_metrics(stream: DataFrame, models: list[str]) -> DataFrame:
-    """Latency, throughput and error share per model and five-minute window."""
+def inference_parts(requests: DataFrame) -> DataFrame:
+    """Requests and errors by window, model and latency: additive, whatever the batches."""
+    return requests.groupBy(F.window("event_time", WINDOW)["start"].alias("window_start"), "model", "latency").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_error") == 1).alias("errors")
+    )
+
+
+def current_inference(parts: DataFrame) -> DataFrame:
+    """Latency, throughput and error share per model and five-minute window, from all parts so far."""
+    keys = ["window_start", "model"]
+    counts = parts.groupBy(*keys, "latency").agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
+    of_window = Window.partitionBy(*keys)
+    size = F.sum(F.when(F.col("latency").isNotNull(), F.col("n"))).over(of_window)
+    mean = F.sum(F.col("latency") * F.col("n")).over(of_window) / size
+    upto = F.sum("n").over(of_window.orderBy(F.col("latency").asc_nulls_last()))
+    placed = counts.withColumns({"size": size, "mean": mean, "upto": upto})
+    gap = F.col("latency") - F.col("mean")
+    return (
+        placed.groupBy(*keys)
+        .agg(
+            F.sum("n").alias("requests"),
+            F.max("mean").alias("latency_mean"),
+            F.sqrt(F.sum(F.col("n") * gap * gap) / F.max("size")).alias("latency_std"),
+            F.min(F.when(F.col("upto") >= F.ceil(0.95 * F.col("size")), F.col("latency"))).alias("latency_p95"),
+            F.sum("errors").alias("errors"),
+        )
+        .withColumn("requests_per_second", F.col("requests") / 300.0)
+        .withColumn("error_rate", F.col("errors") / F.col("requests"))
+        .drop("errors")
+    )
+
+
+def inference_metrics(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """The same figures from kept state, for windows to be emitted while the stream runs."""
     return (
-        stream.withWatermark("event_time", WATERMARK)
+        stream.withWatermark("event_time", lateness)
         .groupBy(F.window("event_time", WINDOW).alias("window"), "model")
         .agg(
             F.count(F.lit(1)).alias("requests"),
@@ -128,15 +193,18 @@ def request_stream(events: DataFrame) -> DataFrame:
     )
 
 
-def user_activity(stream: DataFrame, threshold: int = 3) -> DataFrame:
-    """Running count and last activity per user, with the cold flag (update mode).
+def user_activity(stream: DataFrame, threshold: int = 3, name: str = "activity") -> DataFrame:
+    """Event count and last activity per user, with the cold flag; no state is kept between batches."""
 
-    The state holds one small row per user in the state store of the executors;
-    it grows with the number of users, never with the number of events.
-    """
+    def part(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("event_count"), F.max("event_time").alias("last_seen")
+        )
+
+    parts = collect_parts(stream, part, name)
     return (
-        stream.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("event_count"), F.max("event_time").alias("last_seen"))
+        parts.groupBy("user_id")
+        .agg(F.sum("event_count").alias("event_count"), F.max("last_seen").alias("last_seen"))
         .withColumn("is_cold", F.when(F.col("event_count") < threshold, 1).otherwise(0))
     )
 
@@ -150,15 +218,27 @@ def score_stream(events: DataFrame, model: str) -> DataFrame:
     return events.select(F.col("event_id").alias("request_id"), "event_time", score.alias("score"))
 
 
-def shadow_compare(production: DataFrame, shadow: DataFrame) -> DataFrame:
-    """Join both score streams on the request and compare them.
+def pair_scores(production: DataFrame, shadow: DataFrame) -> DataFrame:
+    """Both models' scores of each request compared: every pair, whenever its halves arrived.
+
+    The streams write their scores as they come; the pairs are a join of what was written.
+    """
+    left = collect_batches(production, "production-scores").select(
+        "request_id", "event_time", F.col("score").alias("production_score")
+    )
+    right = collect_batches(shadow, "shadow-scores").select("request_id", F.col("score").alias("shadow_score"))
+    return decisions.compare_scores(left.join(right, "request_id"), "production_score", "shadow_score")
+
+
+def shadow_compare(production: DataFrame, shadow: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """The same comparison as a stream: pairs are emitted as soon as both halves are there.
 
     The time condition lets both sides forget requests that can no longer match.
     """
-    left = production.withWatermark("event_time", WATERMARK).select(
+    left = production.withWatermark("event_time", lateness).select(
         "request_id", "event_time", F.col("score").alias("production_score")
     )
-    right = shadow.withWatermark("event_time", WATERMARK).select(
+    right = shadow.withWatermark("event_time", lateness).select(
         F.col("request_id").alias("shadow_request_id"),
         F.col("event_time").alias("shadow_time"),
         F.col("score").alias("shadow_score"),
@@ -173,64 +253,42 @@ def shadow_compare(production: DataFrame, shadow: DataFrame) -> DataFrame:
     return decisions.compare_scores(joined, "production_score", "shadow_score")
 
 
-def drift_monitor(
-    stream: DataFrame,
-    reference: DataFrame,
-    columns: list[str],
-    name: str = "drift",
-    interval: str | None = None,
-) -> DataFrame | object:
-    """Check every micro-batch against the reference; append its summary and alerts."""
-    spark = stream.sparkSession
-    path = new_path(spark, name)
+def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], name: str = "drift") -> DataFrame:
+    """Drift summary of every event-time day against the reference (columns and ``event_time`` in the stream).
 
-    def check(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        summary = drift.drift_summary(reference, batch, columns)
-        summary.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
-            f"{path}/summary/batch={batch_id}"
-        )
-        written = spark.read.parquet(f"{path}/summary/batch={batch_id}")
-        alerts.data_alerts(written).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/alerts/batch={batch_id}")
+    Batches write counts by day, column and value; the reference is counted once.
+    A day's figures do not depend on how its events were dealt to batches.
+    """
 
-    query = run_batches(stream, check, name, interval=interval)
-    if interval:
-        return query
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{path}/alerts")
+    def part(batch: DataFrame) -> DataFrame:
+        return drift.value_counts_by(batch.withColumn("day", F.to_date("event_time")), columns, ["day"])
 
+    parts = collect_parts(stream, part, name)
+    current = parts.groupBy("day", "column", "value").agg(F.sum("n").alias("n"))
+    return drift.daily_summary(drift.value_counts_by(reference, columns, []), current, len(columns))
 
-def feature_update(stream: DataFrame, name: str = "features") -> DataFrame:
-    """Keep per-user counts current: one additive part per micro-batch.
 
-    A repeated micro-batch overwrites its own part, so counts stay right after a
-    restart; the current table is the sum over the parts.
-    """
-    spark = stream.sparkSession
-    path = new_path(spark, name)
+def drift_alerts(daily: DataFrame) -> DataFrame:
+    """The data alerts of every day of ``drift_monitor``."""
+    return alerts.data_alerts(daily)
+
 
-    def add_part(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.groupBy("user_id")
-            .agg(
-                F.count(F.lit(1)).alias("total_events"),
-                count_type("view").alias("total_views"),
-                count_type("click").alias("total_carts"),
-                count_type("purchase").alias("total_purchases"),
-                F.max("event_time").alias("event_timestamp"),
-            )
-            .write.mode("overwrite")
-            .parquet(f"{path}/batch={batch_id}")
+def feature_update(stream: DataFrame, name: str = "features") -> DataFrame:
+    """Keep per-user counts current: one additive part per micro-batch."""
+
+    def part(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("total_events"),
+            count_type("view").alias("total_views"),
+            count_type("click").alias("total_carts"),
+            count_type("purchase").alias("total_purchases"),
+            F.max("event_time").alias("event_timestamp"),
         )
 
-    run_batches(stream, add_part, name)
-    return current_features(spark, path)
+    return current_features(collect_parts(stream, part, name))
 
 
-def current_features(spark: SparkSession, path: str) -> DataFrame:
-    parts = spark.read.option("recursiveFileLookup", True).parquet(path)
+def current_features(parts: DataFrame) -> DataFrame:
     counts = [c for c in parts.columns if c.startswith("total_")]
     return parts.groupBy("user_id").agg(
         F.max("event_timestamp").alias("event_timestamp"), *[F.sum(c).alias(c) for c in counts]

@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from basketry.operators import alerts
 from basketry.session import new_path
+from basketry.sources.readers import incremental_read
 from basketry.streaming import jobs
 
 from .conftest import SMALL
@@ -9,40 +11,84 @@ from .conftest import SMALL
 
 @pytest.fixture(scope="module")
 def split_dir(spark, tmp_path_factory):
-    """The small event table in four files, in time order, so that a stream has batches."""
-    path = str(tmp_path_factory.mktemp("stream") / "events.parquet")
+    """The small event table as a folder of files in random time order."""
+    root = str(tmp_path_factory.mktemp("stream"))
     events = spark.read.parquet(f"{SMALL}/events.parquet")
-    for start in (1, 8, 16, 24):  # one write per part: files are streamed in order of their age
-        days = F.dayofmonth("ts")
-        end = {1: 8, 8: 16, 16: 24, 24: 32}[start]
-        events.where((days >= start) & (days < end)).coalesce(1).write.mode("append").parquet(path)
-    return path
+    for part in (3, 0, 5, 1, 4, 2):  # files are streamed in order of their age
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == part).coalesce(1).write.mode("append").parquet(
+            f"{root}/events.parquet"
+        )
+    return root
 
 
 @pytest.fixture()
 def stream(spark, split_dir):
-    schema = spark.read.parquet(split_dir).schema
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(split_dir)
-    return raw.select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("long").alias("k"),
-    )
+    return jobs.event_stream(spark, split_dir, bytes_per_trigger=1)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_every_event_is_read_once_in_many_batches(tables, stream):
+    got = jobs.collect_batches(stream, "t-scan")
+    assert got.select("batch_id").distinct().count() == 6
+    assert rows(got.select("event_id", "event_time")) == rows(tables.all_events.select("event_id", "event_time"))
 
 
-def test_user_activity_over_batches_equals_batch(tables, stream):
-    updates = jobs.collect_batches(jobs.user_activity(stream), "t-activity", "update")
-    assert updates.select("batch_id").distinct().count() >= 4
-    got = {r["user_id"]: (r["event_count"], r["last_seen"], r["is_cold"]) for r in jobs.latest_update(updates, ["user_id"]).collect()}
-    expected = tables.all_events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("t")).collect()
-    assert got == {r["user_id"]: (r["n"], r["t"], int(r["n"] < 3)) for r in expected}
+def test_csv_files_as_a_stream(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    spark.range(100).selectExpr("id", "id * 2 as twice").repartition(4).write.option("header", True).csv(path)
+    stream = incremental_read(spark, path, "id long, twice long", "csv", 1, {"header": True})
+    got = jobs.collect_batches(stream, "t-csv")
+    assert got.select("batch_id").distinct().count() > 1
+    assert rows(got.select("id", "twice")) == rows(spark.range(100).selectExpr("id", "id * 2 as twice"))
 
 
-def test_feature_update_over_batches_equals_batch(tables, stream):
-    got = {r["user_id"]: (r["total_events"], r["total_views"]) for r in jobs.feature_update(stream, "t-features").collect()}
+def test_user_activity_equals_batch(tables, stream):
     expected = tables.all_events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "view").alias("v")
+        F.count(F.lit(1)).alias("n"), F.max("event_time"), F.when(F.count(F.lit(1)) < 3, 1).otherwise(0)
+    )
+    assert rows(jobs.user_activity(stream, name="t-activity")) == rows(expected)
+
+
+def test_feature_update_equals_batch(tables, stream):
+    got = jobs.feature_update(stream, "t-features").select("user_id", "total_events", "total_views")
+    expected = tables.all_events.groupBy("user_id").agg(
+        F.count(F.lit(1)), F.count_if(F.col("event_type") == "view")
+    )
+    assert rows(got) == rows(expected)
+
+
+def test_inference_parts_lose_no_request(tables, stream):
+    parts = jobs.collect_parts(jobs.request_stream(stream), jobs.inference_parts, "t-inference")
+    got = {(r["window_start"], r["model"]): r for r in jobs.current_inference(parts).collect()}
+    requests = jobs.request_stream(tables.all_events)
+    batch = requests.groupBy(F.window("event_time", "5 minutes")["start"].alias("w"), "model").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("latency").alias("mean"), F.stddev_pop("latency").alias("std"),
+        F.sum("is_error").alias("errors"), F.percentile_approx("latency", 0.95, 100_000).alias("p95"),
     ).collect()
-    assert got == {r["user_id"]: (r["n"], r["v"]) for r in expected}
+    assert len(got) == len(batch)
+    for r in batch:
+        own = got[r["w"], r["model"]]
+        assert own["requests"] == r["n"] and own["latency_p95"] == r["p95"]
+        assert own["latency_mean"] == pytest.approx(r["mean"]) and own["latency_std"] == pytest.approx(r["std"], abs=1e-9)
+        assert own["error_rate"] == pytest.approx(r["errors"] / r["n"])
+
+
+def test_all_score_pairs_are_compared(tables, spark, split_dir):
+    sides = [jobs.score_stream(jobs.event_stream(spark, split_dir, 1), m) for m in ("production", "shadow")]
+    assert jobs.pair_scores(*sides).count() == tables.all_events.count()
+
+
+def test_late_rows_are_an_error_unless_allowed(tables, stream):
+    requests = jobs.request_stream(stream)
+    with pytest.raises(jobs.LateRows):
+        jobs.collect_batches(jobs.inference_metrics(requests), "t-late")
+    jobs.collect_batches(jobs.inference_metrics(requests), "t-late-allowed", allow_late=True)
+    closed = jobs.collect_batches(jobs.inference_metrics(requests, "400 days"), "t-wide", "update")
+    got = {(r["window_start"], r["model"]): r["requests"] for r in jobs.latest_update(closed, ["window_start", "model"]).collect()}
+    assert sum(got.values()) == 2 * tables.all_events.count()
 
 
 def test_repeated_batch_replaces_its_own_output(spark, tables):
@@ -53,31 +99,14 @@ def test_repeated_batch_replaces_its_own_output(spark, tables):
     assert spark.read.option("recursiveFileLookup", True).parquet(path).count() == 10
 
 
-def test_closed_windows_in_append_mode_equal_batch(tables, stream):
-    requests = jobs.request_stream(stream)
-    closed = jobs.collect_batches(jobs.inference_metrics(requests, ["a", "b"]), "t-append", "append").collect()
-    batch = {
-        (r["start"], r["model"]): (r["n"], r["mean"])
-        for r in jobs.request_stream(tables.all_events)
-        .groupBy(F.window("event_time", "5 minutes").alias("w"), "model")
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("latency").alias("mean"))
-        .select(F.col("w.start").alias("start"), "model", "n", "mean")
-        .collect()
-    }
-    assert 0 < len(closed) <= len(batch)
-    for r in closed:
-        n, mean = batch[(r["window_start"], r["model"])]
-        assert r["requests"] == n and r["latency_mean"] == pytest.approx(mean)
-    # Only windows newer than the watermark may still be open.
-    latest = max(start for start, _ in batch)
-    missing = set(batch) - {(r["window_start"], r["model"]) for r in closed}
-    assert all((latest - start).total_seconds() <= 900 for start, _ in missing)
-
-
-def test_drift_monitor_writes_alerts_per_batch(spark, tables, stream):
+def test_drift_is_per_day_whatever_the_batches(spark, tables, split_dir):
     reference = tables.all_events.select((F.col("value") * 3).alias("value"), F.col("k").cast("double").alias("k"))
-    found = jobs.drift_monitor(
-        stream.select("value", F.col("k").cast("double").alias("k")), reference, ["value", "k"], "t-drift"
-    ).collect()
-    assert len({r["batch_id"] for r in found}) == 4
-    assert "DATA_DRIFT" in {r["type"] for r in found}
+    found = []
+    for size in (1, 1 << 30):
+        stream = jobs.event_stream(spark, split_dir, size).withColumn("k", F.col("k").cast("double"))
+        found.append(jobs.drift_monitor(stream, reference, ["value", "k"], "t-drift"))
+    assert rows(found[0]) == rows(found[1])
+    days = tables.all_events.select(F.to_date("event_time")).distinct().count()
+    assert found[0].count() == days
+    assert "DATA_DRIFT" in {r["type"] for r in jobs.drift_alerts(found[0]).collect()}
+    assert alerts.data_alerts(found[0].where("drift_score < 0")).count() == 0
