@@ -73,13 +73,13 @@ class TrainingSet:
 def classification_set(
     features: DataFrame,
     columns: list[str] = MODEL_FEATURES,
-    oversample: bool = False,
-    exact_shares: bool = False,
+    oversample: bool = True,
+    exact_shares: bool = True,
 ) -> TrainingSet:
-    """70/30 split, scaling fitted on the training part, optional oversampling.
+    """70/30 split with exact label shares, scaling fitted on the training part, oversampling of its minority.
 
-    The split is decided row by row from the id, which keeps the label shares up
-    to sampling error; ``exact_shares`` costs a shuffle of the feature table.
+    Without ``exact_shares`` the split is decided row by row from the id, which
+    saves a shuffle of the feature table and keeps the shares up to sampling error.
 
     The learners read their input many times, so both parts are written to the
     shared folder first: a lost executor costs a re-read, not the feature joins.
@@ -170,19 +170,27 @@ def evaluate(model: PipelineModel, data: TrainingSet, name: str) -> DataFrame:
     return metrics.classification_metrics(named).join(metrics.roc_auc(named), "model")
 
 
-def train_compare(data: TrainingSet, effort: Effort, names: list[str] | None = None) -> DataFrame:
-    """Leaderboard over the named classifiers: one distributed fit each."""
+def train_compare(
+    data: TrainingSet, effort: Effort, names: list[str] | None = None, models: dict[str, PipelineModel] | None = None
+) -> DataFrame:
+    """Leaderboard over the named classifiers: one distributed fit each, unless it is among ``models``."""
+    models = models or {}
     table = classifiers(effort, data.train_rows)
     board = None
     for name in names or list(table):
         scored = materialize(
-            score(fit(data, table[name]()), data.test, ["event_id", F.col("target").alias("y")])
+            score(models.get(name) or fit(data, table[name]()), data.test, ["event_id", F.col("target").alias("y")])
             .withColumn("model", F.lit(name)),
             "scored",
         )
         board = scored if board is None else board.unionByName(scored)
-    result = metrics.classification_metrics(board).join(metrics.roc_auc(board), "model")
-    return ranking.leaderboard(result)
+    return ranking.leaderboard(comparison_figures(board))
+
+
+def comparison_figures(scored: DataFrame) -> DataFrame:
+    """Metrics, confusion counts, specificity and ROC-AUC per model (model, y, score)."""
+    figures = metrics.classification_metrics(scored).join(metrics.confusion_counts(scored), "model")
+    return figures.join(metrics.roc_auc(scored), "model")
 
 
 def feature_importance(model: PipelineModel, columns: list[str], top: int = 20) -> DataFrame:
@@ -307,14 +315,20 @@ def batch_score(
     )
 
 
-def scoring_model(requests: DataFrame, users: DataFrame, effort: Effort) -> PipelineModel:
-    """Stand-in scorer for requests: large amounts against the batch mean as the label."""
-    enriched = joins.enrich_requests(requests, users)
-    names = [c for c in enriched.columns if c not in ("request_id", "user_id", "is_default")]
-    mean = enriched.agg(F.avg("transaction_amount")).scalar()
-    rows = materialize(
-        enriched.na.fill(0.0, subset=names).withColumn("target", X.flag(F.col("transaction_amount") > mean)),
-        "requests",
+def scoring_model(events: DataFrame, users: DataFrame, effort: Effort) -> PipelineModel:
+    """Scorer for requests, trained on the event log: is an event at this price by this user a purchase?
+
+    The price of an event stands for the amount of a request; the label is the
+    event's type, which is no input.
+    """
+    past = events.where(F.col("price").isNotNull()).select(
+        F.col("event_id").alias("request_id"),
+        "user_id",
+        F.col("price").alias("transaction_amount"),
+        X.flag(F.col("event_type") == "purchase").alias("target"),
     )
+    enriched = joins.enrich_requests(past.drop("target"), users)
+    names = [c for c in enriched.columns if c not in ("request_id", "user_id", "is_default")]
+    rows = enriched.na.fill(0.0, subset=names).join(past.select("request_id", "target"), "request_id")
     estimator = LogisticRegression(labelCol="target", maxIter=effort.linear_rounds, regParam=0.01)
-    return Pipeline(stages=[assemble(names), estimator]).fit(rows)
+    return Pipeline(stages=[assemble(names), estimator]).fit(materialize(rows, "past-requests"))

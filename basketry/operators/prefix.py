@@ -136,14 +136,16 @@ def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "se
     along the identifier.  No bucket can therefore hold a large share of the rows.
     """
     keyed = df.withColumn("_order", F.unix_micros(order))
-    times = keyed.agg(_marks("_order")).scalar()
-    ids = keyed.agg(_marks(identifier)).scalar()
-    placed = _with_bucket(keyed, times, F.col("_order"), "_bucket")
-    placed = _with_bucket(placed, ids, F.col(identifier), "_id_bucket")
-    on_edge = F.coalesce(F.try_element_at(times, F.col("_bucket") + 1) == F.col("_order"), F.lit(False))
+    edges = keyed.agg(F.struct(_marks("_order").alias("times"), _marks(identifier).alias("ids"))).scalar()
+    # One column holds the edges: the search steps read it, and the subquery stands in the plan once.
+    keyed = keyed.withColumn("_edges", edges)
+    keyed = keyed.withColumn("_times", F.col("_edges.times")).withColumn("_ids", F.col("_edges.ids"))
+    placed = _with_bucket(keyed, F.col("_times"), F.col("_order"), "_bucket")
+    placed = _with_bucket(placed, F.col("_ids"), F.col(identifier), "_id_bucket")
+    on_edge = F.coalesce(F.try_element_at("_times", F.col("_bucket") + 1) == F.col("_order"), F.lit(False))
     tagged = placed.withColumn(
         "_part", F.when(on_edge, F.col("_id_bucket") + 1).otherwise(0)
-    ).drop("_id_bucket")
+    ).drop("_id_bucket", "_edges", "_times", "_ids")
 
     # At most BUCKETS intervals, and one row per part of an edge value.
     sizes = tagged.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))

@@ -17,11 +17,13 @@ def event_distribution(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[count(F.col(c)).alias(f"unique_{c}") for c in columns],
-    )
+    rows = F.count(F.lit(1)).alias("total_rows")
+    if approximate:
+        return df.agg(rows, *[F.approx_count_distinct(c).alias(f"unique_{c}") for c in columns])
+    # One two-step count per column, partly summed before each shuffle; together they would
+    # multiply every row by the number of columns.
+    counts = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar() for c in columns]
+    return df.agg(rows).select("total_rows", *[n.alias(f"unique_{c}") for n, c in zip(counts, columns)])
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:

@@ -68,18 +68,18 @@ def price_log_histogram(t):
     return profile.price_log_histogram(t.event_log)
 
 
-@query("events_per_user_histogram", _histogram_sql("SELECT CAST(count(*) AS DOUBLE) AS v FROM event_log GROUP BY user_session"))
+@query("events_per_user_histogram", _histogram_sql("SELECT CAST(count(*) AS DOUBLE) AS v FROM event_log GROUP BY user_id"))
 def events_per_user_histogram(t):
-    return profile.events_per_key_histogram(t.event_log, "user_session")
+    return profile.events_per_key_histogram(t.event_log, "user_id")
 
 
 @query(
     "user_activity_segments",
     """SELECT CASE WHEN n = 1 THEN '1 event' WHEN n <= 3 THEN '2-3 events' ELSE 'more than 3' END AS segment, count(*) AS users
-       FROM (SELECT count(*) AS n FROM event_log GROUP BY user_session) GROUP BY 1""",
+       FROM (SELECT count(*) AS n FROM event_log GROUP BY user_id) GROUP BY 1""",
 )
 def user_activity_segments(t):
-    return profile.activity_segments(t.event_log, "user_session")
+    return profile.activity_segments(t.event_log, "user_id")
 
 
 @query(

@@ -7,19 +7,32 @@ from ..operators import features, learning, metrics, sampling
 from ..session import materialize
 from .registry import query
 
-# Small rounds keep the check short; the full sizes are the defaults of Effort.
-QUICK = learning.Effort(
-    linear_rounds=20, trees=10, tree_depth=5, demand_trees=10, demand_depth=5, boosting_rounds=5
-)
+FULL = learning.Effort()
 
+# Training sets and fitted models of this session, so that queries over the same
+# tables train each model once.  Keyed by application and folder.
+_trained: dict[tuple, object] = {}
 
-def _training(t, oversample: bool = False) -> learning.TrainingSet:
-    return learning.classification_set(features.model_features(t.shop_events), oversample=oversample)
 
+def _once(t, name: str, make):
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _trained:
+        _trained[key] = make()
+    return _trained[key]
 
-def _scored(data, estimator):
-    model = learning.fit(data, estimator)
-    return learning.score(model, data.test, ["event_id", F.col("target").alias("y")])
+
+def _training(t) -> learning.TrainingSet:
+    return _once(t, "set", lambda: learning.classification_set(features.model_features(t.shop_events)))
+
+
+def _model(t, name: str):
+    data = _training(t)
+    table = learning.classifiers(FULL, data.train_rows)
+    return _once(t, name, lambda: learning.fit(data, table[name]()))
+
+
+def _scored(t, name: str):
+    return learning.score(_model(t, name), _training(t).test, ["event_id", F.col("target").alias("y")])
 
 
 @query("smote_oversample")
@@ -32,45 +45,43 @@ def smote_oversample(t):
 
 @query("logreg")
 def logreg(t):
-    data = _training(t)
-    return _scored(data, learning.logistic(QUICK, data.train_rows))
+    return _scored(t, "logistic_regression")
 
 
 @query("random_forest_cls")
 def random_forest_cls(t):
-    return _scored(_training(t), learning.forest(QUICK))
+    return _scored(t, "random_forest")
 
 
 @query("gbt_cls")
 def gbt_cls(t):
-    return _scored(_training(t), learning.boosted(QUICK, "boosted_depth6"))
+    return _scored(t, "boosted_depth6")
 
 
 @query("linear_svm")
 def linear_svm(t):
-    data = _training(t)
-    return _scored(data, learning.linear_svm(QUICK, data.train_rows))
+    return _scored(t, "linear_svm")
 
 
 @query("feature_importance")
 def feature_importance(t):
-    model = learning.fit(_training(t), learning.forest(QUICK))
-    return learning.feature_importance(model, MODEL_FEATURES)
+    return learning.feature_importance(_model(t, "random_forest"), MODEL_FEATURES)
 
 
 @query("train_compare")
 def train_compare(t):
-    return learning.train_compare(_training(t, oversample=True), QUICK)
+    data = _training(t)
+    return learning.train_compare(data, FULL, models={n: _model(t, n) for n in learning.classifiers(FULL, 1)})
 
 
 @query("demand_regressors")
 def demand_regressors(t):
-    return learning.compare_demand(learning.demand_set(t.demand_set), QUICK)
+    return learning.compare_demand(learning.demand_set(t.demand_set), FULL)
 
 
 @query("two_stage_demand")
 def two_stage_demand(t):
-    return learning.two_stage_demand(learning.demand_set(t.demand_set), QUICK)
+    return learning.two_stage_demand(learning.demand_set(t.demand_set), FULL)
 
 
 @query("two_stage_demand_metrics")
@@ -81,5 +92,5 @@ def two_stage_demand_metrics(t):
 @query("batch_score")
 def batch_score(t):
     users = materialize(t.online_users, "online-users")
-    model = learning.scoring_model(t.requests, users, QUICK)
+    model = _once(t, "scorer", lambda: learning.scoring_model(t.event_log, users, FULL))
     return learning.batch_score(t.requests, users, model)

@@ -30,9 +30,9 @@ def scan_events(t):
     return enforce_schema(readers.read_csv(t.spark, path, EVENTS), EVENTS)
 
 
-@query("scan_limit", f"SELECT {LOG_COLUMNS} FROM event_log ORDER BY event_time, event_id LIMIT 100000")
+@query("scan_limit", f"SELECT {LOG_COLUMNS} FROM event_log ORDER BY event_time, event_id LIMIT 1000")
 def scan_limit(t):
-    return readers.first_rows(t.event_log, 100_000)
+    return readers.first_rows(t.event_log, 1000)
 
 
 @query("scan_sample", f"SELECT {LOG_COLUMNS} FROM event_log WHERE {id_bucket_sql('event_id', 10000)} < 500")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  They can be changed on a running session, so
@@ -29,10 +30,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and for the benchmark on one machine."""
+def local_session(cores: str = "8", shuffle_partitions: int = 8, folder: str | None = None) -> SparkSession:
+    """Session for tests and for the benchmark on one machine; ``folder`` is the shared folder."""
+    builder = SparkSession.builder.master(f"local[{cores}]")
+    if folder or "spark.checkpoint.dir" not in SparkConf().toDebugString():
+        builder = builder.config("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="basketry-"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder
         .appName("basketry")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
@@ -47,16 +51,13 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    not survive the loss of an executor.
+    Without that setting there is no folder to fall back on: a machine-local one
+    would not survive the loss of an executor.  Tables written there are not
+    removed by the library; give the folder a retention rule.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="basketry-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors when building the session")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -87,7 +87,19 @@ def test_neighbours_in_small_cells_are_close(spark):
 
 @pytest.fixture(scope="module")
 def training(tables):
-    return learning.classification_set(features.model_features(tables.shop_events))
+    return learning.classification_set(
+        features.model_features(tables.shop_events), oversample=False, exact_shares=False
+    )
+
+
+def test_default_training_set_is_stratified_and_balanced(tables):
+    data = learning.classification_set(features.model_features(tables.shop_events))
+    classes = {r["target"]: r["count"] for r in data.train.groupBy("target").count().collect()}
+    assert classes[0] == classes[1]
+    whole = features.model_features(tables.shop_events).groupBy("target").count().collect()
+    held = {r["target"]: r["count"] for r in data.test.groupBy("target").count().collect()}
+    for r in whole:  # 256 strata, each off by at most half a row
+        assert abs(held[r["target"]] - 0.3 * r["count"]) <= 128
 
 
 def test_training_parts_are_disjoint_and_complete(training, tables):
@@ -114,6 +126,8 @@ def test_models_beat_chance(training):
     assert [r["rank"] for r in sorted(board, key=lambda r: -r["roc_auc"])] == [1, 2, 3, 4]
     assert all(0 <= r["accuracy"] <= 1 for r in board)
     assert max(r["roc_auc"] for r in board) > 0.5
+    assert all(r["tn"] + r["fp"] + r["fn"] + r["tp"] == training.test.count() for r in board)
+    assert all(0 <= r["specificity"] <= 1 for r in board)
 
 
 def test_importances_are_sorted_and_sum_to_one(training):
@@ -132,7 +146,7 @@ def test_batch_score_answers_every_request_once(tables):
     from basketry.session import materialize
 
     users = materialize(tables.online_users, "users")
-    model = learning.scoring_model(tables.requests, users, QUICK)
+    model = learning.scoring_model(tables.event_log, users, QUICK)
     out = learning.batch_score(tables.requests, users, model)
     assert out.count() == out.select("request_id").distinct().count() == tables.requests.count()
     bad = out.where("error is not null")
