@@ -48,7 +48,7 @@ def components(links: DataFrame) -> DataFrame:
         )
     if labels is None:
         return loops.distinct().select("node", F.col("node").alias("component"))
-    smallest = labels.groupBy("root").agg(F.min("node").alias("component"))
+    smallest = written(labels.groupBy("root").agg(F.min("node").alias("component")), "smallest")
     found = labels.join(smallest, "root").select("node", "component")
     lone = loops.distinct().join(found, "node", "left_anti")
     return found.unionByName(lone.select("node", F.col("node").alias("component")))

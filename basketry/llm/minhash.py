@@ -8,13 +8,13 @@
 * Documents with the same set are one class; only its first document goes on.
 * Bands of ``rows`` slots are bucket keys.  With 25 bands of 6 rows a pair at
   the limit of 0.85 shares no bucket once in 10^5 pairs.
-* Links are found bucket by bucket without listing the pairs of a bucket: each
-  round compares the members of a bucket to one centre, drawn by a seeded hash,
-  whose signature estimate allows the limit, confirms each on the full sets,
-  joins the groups, and goes on with buckets that still span several groups.
-  After ``stars`` rounds the pairs that are left (members of different groups in
-  one bucket) are looked through in blocks of the bucket, so that no link
-  between different texts is lost.
+* Links are found bucket by bucket without listing the pairs of a bucket.  First
+  each member is compared to one centre, the member of its buckets that meets
+  most others there, and confirmed on the full sets; that joins most groups.
+  Buckets that still span several groups are cut into blocks, and each cell of
+  two blocks intersects the full sets of its members at once inside a task, so
+  that no link between different texts is lost.  Only links that join groups
+  leave a task.
 
 The signature estimate leaves out a pair only if it is more than five standard
 deviations below the limit.
@@ -48,9 +48,9 @@ class Settings:
     percent: int = 80
     bands: int = 30
     rows: int = 5
-    stars: int = 4
+    stars: int = 1
     #: Members of a bucket that one block of the last search holds.
-    block: int = 512
+    block: int = 256
 
     @property
     def slots(self) -> int:
@@ -199,9 +199,10 @@ def likely(pairs: DataFrame, slots: DataFrame, settings: Settings) -> DataFrame:
             a, b = (_matrix(batch[c], settings) for c in ("src_slots", "dst_slots"))
             yield batch.loc[(a == b).sum(axis=1) >= settings.least_equal, ["src", "dst"]]
 
-    src = slots.select(F.col("doc_id").alias("src"), F.col("slots").alias("src_slots"))
-    dst = slots.select(F.col("doc_id").alias("dst"), F.col("slots").alias("dst_slots"))
-    joined = pairs.join(src, "src").join(dst, "dst").select("src", "dst", "src_slots", "dst_slots")
+    src = slots.select(F.col("doc_id").alias("src"), F.col("slots").alias("src_slots"), F.col("n_shingles").alias("n"))
+    dst = slots.select(F.col("doc_id").alias("dst"), F.col("slots").alias("dst_slots"), F.col("n_shingles").alias("m"))
+    near = 100 * F.least("n", "m") >= settings.percent * F.greatest("n", "m")
+    joined = pairs.join(src, "src").join(dst, "dst").where(near).select("src", "dst", "src_slots", "dst_slots")
     return joined.mapInPandas(run, "src long, dst long")
 
 
@@ -210,95 +211,184 @@ def _matrix(column: pd.Series, settings: Settings) -> np.ndarray:
 
 
 def star_pairs(member: DataFrame, step: int) -> DataFrame:
-    """One pair for each member of a bucket that spans several groups: with the centre it shares most buckets with."""
-    drawn = F.struct(F.xxhash64(F.lit(step), "doc_id").alias("h"), "doc_id", "grp")
-    centre = member.groupBy("bucket").agg(
-        F.min("grp").alias("low"), F.max("grp").alias("high"), F.min(drawn).alias("centre")
+    """One pair for each member of a bucket that spans several groups: with the centre it shares most buckets with.
+
+    A bucket's centre is the member that meets most others over all its buckets:
+    an original meets its copies more often than they meet each other.
+    """
+    sizes = member.groupBy("bucket").agg(
+        F.min("grp").alias("low"), F.max("grp").alias("high"), F.count("*").alias("n")
     )
-    mixed = centre.where("low < high").select("bucket", "centre.doc_id", "centre.grp").toDF("bucket", "dst", "dst_grp")
-    pairs = member.join(mixed, "bucket").where("grp <> dst_grp").groupBy(F.col("doc_id").alias("src"), "dst").count()
+    sizes = written(sizes.where("low < high").select("bucket", "n"), "bucket-sizes")
+    mixed = written(member.join(sizes, "bucket"), "open-buckets")
+    meets = mixed.groupBy("doc_id").agg(F.sum("n").alias("meets"))
+    rank = F.struct("meets", F.xxhash64(F.lit(step), "doc_id").alias("h"), "doc_id", "grp")
+    centre = mixed.join(meets, "doc_id").groupBy("bucket").agg(F.max(rank).alias("centre"))
+    centre = centre.select("bucket", "centre.doc_id", "centre.grp").toDF("bucket", "dst", "dst_grp")
+    centre = written(centre, "centres")
+    pairs = mixed.join(centre, "bucket").where("grp <> dst_grp").groupBy(F.col("doc_id").alias("src"), "dst").count()
     best = pairs.groupBy("src").agg(F.max(F.struct("count", "dst")).alias("best"))
     return best.select("src", F.col("best.dst").alias("dst"))
 
 
-def rest_pairs(member: DataFrame, slots: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of different groups in one bucket whose signatures allow the limit, found block by block.
+CELL = ["bucket", "i", "j"]
+CARRIED = "doc_id long, grp long, band int, n_shingles long, slots binary, bands array<bigint>"
+
+
+def by_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each cell, from batches of rows sorted by cell."""
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        key = held[CELL].to_numpy()
+        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        for x, y in zip([0, *cuts[:-1]], cuts):
+            yield held.iloc[x:y]
+        if len(cuts):
+            held = held.iloc[cuts[-1] :].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def in_cells(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def likely_members(cell: pd.DataFrame, settings: Settings) -> np.ndarray:
+    """Which rows of a cell have a partner in another group whose signature allows the limit.
+
+    A pair counts in the first band that it shares, so that it is looked at once.
+    """
+    rest = cell["rest"].to_numpy()
+    out = np.zeros(len(cell), bool)
+    own, other = np.flatnonzero(rest), np.flatnonzero(~rest)
+    if not len(own) or not len(other):
+        return out
+    slots = _matrix(cell["slots"], settings)
+    band = int(cell["band"].iloc[0])
+    earlier = np.stack(cell["bands"].to_numpy())[:, :band]
+    size, grp = cell["n_shingles"].to_numpy(), cell["grp"].to_numpy()
+    for k in own:
+        # Sets of too different sizes cannot meet the limit.
+        near = 100 * np.minimum(size[other], size[k]) >= settings.percent * np.maximum(size[other], size[k])
+        hits = other[near & (grp[other] != grp[k])]
+        hits = hits[(slots[hits] == slots[k]).sum(axis=1) >= settings.least_equal]
+        hits = hits[~(earlier[hits] == earlier[k]).any(axis=1)]
+        if len(hits):
+            out[k] = out[hits] = True
+    return out
+
+
+def shared_counts(own: list[np.ndarray], other: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections: products of 0/1 matrices over the elements found in several sets."""
+    every = own + other
+    lengths = [len(s) for s in every]
+    _, place, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(every)), lengths)
+    shared = times[place] > 1
+    column = (np.cumsum(times > 1) - 1)[place[shared]]
+    row = row[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(own), len(other)), np.float64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, [first, first + columns])
+        part = np.zeros((len(every), columns), np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        total += part[: len(own)] @ part[len(own) :].T
+    return total
+
+
+def cell_links(cell: pd.DataFrame, settings: Settings, hashes: WordHashes) -> list[tuple[int, int]]:
+    """Links inside a cell on the full sets; of those that join the same groups, one."""
+    own, other = cell[cell["rest"]], cell[~cell["rest"]]
+    if own.empty or other.empty:
+        return []
+    a, b = (shingle_sets(x["text"].tolist(), settings.shingle, hashes) for x in (own, other))
+    same = shared_counts(a, b)
+    both = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])
+    grp, grps = own["grp"].to_numpy(), other["grp"].to_numpy()
+    linked = (100 * same >= settings.percent * (both - same)) & (grp[:, None] != grps)
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    src, dst = own["doc_id"].to_numpy(), other["doc_id"].to_numpy()
+    for i, j in zip(*np.nonzero(linked)):
+        p, q = find(int(grp[i])), find(int(grps[j]))
+        if p != q:
+            parent[p] = q
+            out.append((int(src[i]), int(dst[j])))
+    return out
+
+
+def rest_links(member: DataFrame, slots: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between different groups in one bucket, found cell by cell.
 
     Members outside the largest group of a bucket meet all members, in cells of
-    two blocks; a cell's members are compared by signature inside its task and
-    only likely pairs leave it.
+    two blocks.  Signatures tell which rows of a cell need their texts; with
+    those, all sets of a cell are intersected at once inside its task.  Only
+    links that join groups leave it, no pairs.
     """
     sizes = member.groupBy("bucket", "grp").count()
     bucket = sizes.groupBy("bucket").agg(
         F.sum("count").alias("n"), F.max(F.struct("count", "grp")).alias("main"), F.count("*").alias("groups")
     )
-    blocks = bucket.where("groups > 1").select(
+    blocks = written(bucket.where("groups > 1").select(
         "bucket",
         F.col("main.grp").alias("main"),
         F.ceil(F.col("n") / settings.block).cast("int").alias("all_blocks"),
         F.ceil((F.col("n") - F.col("main.count")) / settings.block).cast("int").alias("rest_blocks"),
-    )
+    ), "blocks")
     open_rows = member.join(blocks, "bucket").join(slots, "doc_id")
     block = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.col(count)).cast("int")
+    carried = [c.split()[0] for c in CARRIED.split(", ")]
     every = open_rows.select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"),
-        block("all_blocks", 1).alias("j"), F.lit(False).alias("rest"), "doc_id", "grp", "slots",
+        block("all_blocks", 1).alias("j"), F.lit(False).alias("rest"), *carried,
     )
     rest = open_rows.where("grp <> main").select(
         "bucket", block("rest_blocks", 2).alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"), F.lit(True).alias("rest"),
-        "doc_id", "grp", "slots",
+        F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"), F.lit(True).alias("rest"), *carried,
     )
 
-    def pairs_of(cell: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        own, other = cell[cell["rest"]], cell[~cell["rest"]]
-        if own.empty or other.empty:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = _matrix(own["slots"], settings), _matrix(other["slots"], settings)
-        src, dst, found = own["doc_id"].to_numpy(), other["doc_id"].to_numpy(), []
-        different = own["grp"].to_numpy()[:, None] != other["grp"].to_numpy()
-        for k, row in enumerate(a):
-            found.append(np.flatnonzero(different[k] & ((b == row).sum(axis=1) >= settings.least_equal)))
-        return np.repeat(src, [len(x) for x in found]), dst[np.concatenate(found)]
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cell in by_cell(batches):
+            needed = likely_members(cell, settings)
+            if needed.any():
+                yield cell.loc[needed, [*CELL, "rest", "doc_id", "grp"]]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = held[["bucket", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            found = [pairs_of(held.iloc[x:y]) for x, y in zip([0, *cuts[:-1]], cuts)] if len(cuts) else []
-            if len(cuts):
-                held = held.iloc[cuts[-1]:].reset_index(drop=True)
-            for src, dst in found:
-                if len(src):
-                    yield pd.DataFrame({"src": src, "dst": dst})
-        if held is not None and len(held):
-            src, dst = pairs_of(held)
-            yield pd.DataFrame({"src": src, "dst": dst})
-
-    cells = every.unionByName(rest).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    pairs = cells.mapInPandas(run, "src long, dst long")
-    return pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for cell in by_cell(batches):
+            found = cell_links(cell, settings, hashes)
+            if found:
+                yield pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
+
+    cells = in_cells(every.unionByName(rest))
+    needed = cells.mapInPandas(choose, "bucket long, i int, j int, rest boolean, doc_id long, grp long")
+    needed = written(needed, "cells")
+    return in_cells(needed.join(texts, "doc_id")).mapInPandas(confirm, "src long, dst long")
 
 
 def class_links(member: DataFrame, slots: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Confirmed links between members (doc_id, bucket) that decide the groups."""
+    """Confirmed links between members (doc_id, band, bucket) that decide the groups."""
     open_member = member.withColumn("grp", F.col("doc_id"))
     links = None
-    for step in range(settings.stars + 1):
-        if step < settings.stars:
-            pairs = likely(star_pairs(open_member, step), slots, settings)
-        else:
-            pairs = rest_pairs(open_member, slots, settings)
+    for step in range(settings.stars):
+        pairs = likely(star_pairs(open_member, step), slots, settings)
         new = written(confirmed(pairs, texts, settings), "links")
         links = new if links is None else links.unionByName(new)
-        if step < settings.stars:
-            groups = written(components(links), "groups").withColumnRenamed("node", "doc_id")
-            open_member = member.join(groups, "doc_id", "left").select(
-                "doc_id", "bucket", F.coalesce("component", "doc_id").alias("grp")
-            )
-    return links
+        groups = written(components(links), "groups").withColumnRenamed("node", "doc_id")
+        open_member = member.join(groups, "doc_id", "left").select(
+            "doc_id", "band", "bucket", F.coalesce("component", "doc_id").alias("grp")
+        )
+    last = rest_links(open_member, slots, texts, settings)
+    return last if links is None else links.unionByName(last)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -310,11 +400,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     classes = written(known.groupBy(*sets).agg(F.min("doc_id").alias("first")), "classes")
     one = known.join(classes.withColumnRenamed("first", "doc_id"), [*sets, "doc_id"], "left_semi")
     one = one.dropDuplicates(["doc_id", *sets])
-    member = one.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").count().where("count > 1").select("bucket")
+    member = one.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
+    # Written, so that the join deals both sides anew and splits the rows of a common bucket.
+    shared = written(member.groupBy("bucket").count().where("count > 1").select("bucket"), "shared-buckets")
     member = written(member.join(shared, "bucket", "left_semi"), "buckets")
     members = written(member.select("doc_id").distinct(), "members")
-    slots = written(one.select("doc_id", "slots").join(members, "doc_id", "left_semi"), "slots")
+    slots = written(one.select("doc_id", "n_shingles", "slots", "bands").join(members, "doc_id", "left_semi"), "slots")
     texts = written(
         clash_free(docs, ["doc_id", "text"])
         .join(members, "doc_id", "left_semi")

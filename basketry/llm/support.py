@@ -21,7 +21,7 @@ from ..session import materialize, tune
 #: Rows of one Arrow batch: a batch of average documents is a few MB.
 ARROW_ROWS = 1000
 #: Entries after which a worker's cache of words is emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
