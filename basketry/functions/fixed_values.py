@@ -129,3 +129,13 @@ DEMAND_FEATURES = [
     "total_events", "views", "cart_adds", "unique_users", "avg_price", "price_std",
     "unique_sessions", "day_of_week", "is_weekend",
 ]
+
+# Shadow comparison, fixed values: largest share of major discrepancies and of label mismatches.
+SHADOW_READY = (0.01, 0.05)
+SHADOW_TESTING = (0.05, 0.1)
+
+# Canary, fixed values: latency ratios to the current model, and steps of the traffic share in percent.
+CANARY_SLOWER = 1.2
+CANARY_FASTER = 0.9
+CANARY_MORE = 10
+CANARY_LESS = 20

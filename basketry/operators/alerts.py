@@ -177,10 +177,6 @@ def alert_routing(alerts: DataFrame, groups: dict = V.ALERT_GROUPS) -> DataFrame
     )
 
 
-def alert_thresholds(groups: dict = V.ALERT_GROUPS) -> list[tuple[str, str, float]]:
-    return [(g, name, value) for g, rule in groups.items() for name, value in rule["thresholds"].items()]
-
-
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """Counts by level, counts by type and the ten newest alerts, as one row."""
     total = F.count(F.lit(1)).alias("total")

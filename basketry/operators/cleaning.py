@@ -130,10 +130,6 @@ def schema_check(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*[F.count(c).alias(f"_{c}") for c in shared]).select(F.inline(entries))
 
 
-def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if f.name not in df.columns]
-
-
 def check_requests(df: DataFrame) -> DataFrame:
     """Adds parsed columns and ``reasons``: why a scoring request is unusable."""
     user = F.expr("try_cast(user_id AS bigint)")

@@ -27,10 +27,15 @@ def compare_scores(df: DataFrame, production: str, shadow: str) -> DataFrame:
     )
 
 
-def shadow_recommendation(major_rate: Column, mismatch_rate: Column) -> Column:
+def shadow_recommendation(
+    major_rate: Column,
+    mismatch_rate: Column,
+    ready: tuple[float, float] = V.SHADOW_READY,
+    testing: tuple[float, float] = V.SHADOW_TESTING,
+) -> Column:
     return (
-        F.when((major_rate < 0.01) & (mismatch_rate < 0.05), "ready_for_production")
-        .when((major_rate < 0.05) & (mismatch_rate < 0.1), "requires_further_testing")
+        F.when((major_rate < ready[0]) & (mismatch_rate < ready[1]), "ready_for_production")
+        .when((major_rate < testing[0]) & (mismatch_rate < testing[1]), "requires_further_testing")
         .otherwise("not_ready_high_discrepancy")
     )
 
@@ -126,17 +131,19 @@ def canary_decision(
         "*",
         F.when(enough, "analysis_complete").otherwise("insufficient_data").alias("status"),
         F.when(~enough, "continue")
-        .when(F.col("latency_ratio") > 1.2, "rollback")
-        .when(F.col("latency_ratio") < 0.9, "increase_traffic")
+        .when(F.col("latency_ratio") > V.CANARY_SLOWER, "rollback")
+        .when(F.col("latency_ratio") < V.CANARY_FASTER, "increase_traffic")
         .otherwise("continue")
         .alias("recommendation"),
     )
 
 
-def next_split(recommendation: Column, percent: Column) -> Column:
+def next_split(
+    recommendation: Column, percent: Column, more: int = V.CANARY_MORE, less: int = V.CANARY_LESS
+) -> Column:
     return (
-        F.when(recommendation == "increase_traffic", F.least(percent + 10, F.lit(100)))
-        .when(recommendation == "rollback", F.greatest(percent - 20, F.lit(0)))
+        F.when(recommendation == "increase_traffic", F.least(percent + more, F.lit(100)))
+        .when(recommendation == "rollback", F.greatest(percent - less, F.lit(0)))
         .otherwise(percent)
     )
 

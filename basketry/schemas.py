@@ -35,11 +35,6 @@ EVENTS = _struct(
 
 EVENT_TYPES = ["view", "cart", "purchase"]
 
-REQUESTS = _struct(
-    ("request_id", _LONG), ("user_id", _STRING), ("transaction_amount", _STRING)
-)
-
-
 @dataclass(frozen=True)
 class FeatureView:
     """Entity keys, features and time-to-live of one feature table."""
