@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..functions.fixed_values import MODEL_FEATURES
 from ..schemas import EVENT_TYPES
+from ..session import materialize
 from .joins import attach
 
 
@@ -116,11 +117,10 @@ def user_price_stats(events: DataFrame, weight: str | None = None) -> DataFrame:
     )
 
 
-def attach_user_stats(events: DataFrame) -> DataFrame:
-    users = _lookup_sizes(events, ["user_id"])["user_id"]
-    return attach(
-        events, user_price_stats(events, weight="_rows"), "user_id", "_rows", lookup_rows=users
-    )
+def attach_user_stats(events: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    """Price statistics of the event's user; they are taken from ``log``, if it is another table."""
+    stats = user_price_stats(events if log is None else log, weight="_rows")
+    return attach(events, stats, "user_id", "_rows")
 
 
 # --- categorical encodings ---------------------------------------------------------
@@ -145,17 +145,28 @@ def top_values(events: DataFrame, column: str, k: int = 20) -> DataFrame:
     )
 
 
-def _lookup_sizes(events: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Distinct values per column, measured in one pass (within a few percent)."""
-    return events.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+def category_counts(events: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n, freq) of all columns in one pass, values as text; written, since each column reads it."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = events.select(F.inline(cells)).where("value is not null").groupBy("column", "value")
+    counts = materialize(counts.agg(F.count(F.lit(1)).alias("n")), "category-counts")
+    # One row per column.
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(totals), "column").select(
+        "column", "value", "n", (F.col("n") / F.col("total")).alias("freq")
+    )
+
+
+def _counts_of(counts: DataFrame, events: DataFrame, column: str) -> DataFrame:
+    value = F.col("value").cast(events.schema[column].dataType).alias(column)
+    return counts.where(F.col("column") == column).select(value, "n", "freq")
 
 
 def frequency_encode(events: DataFrame, columns: list[str]) -> DataFrame:
-    sizes = _lookup_sizes(events, columns)
+    counts = category_counts(events, columns)
     out = events
     for c in columns:
-        lookup = value_frequencies(events, c).withColumnRenamed("freq", f"{c}_freq")
-        out = attach(out, lookup, c, "n", lookup_rows=sizes[c])
+        out = attach(out, _counts_of(counts, events, c).withColumnRenamed("freq", f"{c}_freq"), c, "n")
     return out
 
 
@@ -171,16 +182,16 @@ def popular_flags(events: DataFrame, columns: list[str], k: int = 20) -> DataFra
 
 
 def encode_categories(events: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
-    """Frequency and popularity flag together: one lookup and one join per column."""
-    sizes = _lookup_sizes(events, columns)
+    """Frequency and popularity flag together: one pass for all counts, one join per column."""
+    counts = category_counts(events, columns)
     out = events
     for c in columns:
-        counts = value_frequencies(events, c)
-        top = counts.orderBy(F.desc("n"), F.asc(c)).limit(k).select(c, F.lit(1).alias("_top"))
-        lookup = counts.join(F.broadcast(top), c, "left").select(
+        own = _counts_of(counts, events, c)
+        top = own.orderBy(F.desc("n"), F.asc(c)).limit(k).select(c, F.lit(1).alias("_top"))
+        lookup = own.join(F.broadcast(top), c, "left").select(
             c, "n", F.col("freq").alias(f"{c}_freq"), F.coalesce("_top", F.lit(0)).alias(f"{c}_is_popular")
         )
-        out = attach(out, lookup, c, "n", lookup_rows=sizes[c])
+        out = attach(out, lookup, c, "n")
     return out.na.fill(0, [f"{c}_is_popular" for c in columns])
 
 
@@ -188,7 +199,12 @@ ENCODED = ["brand", "category_id", "product_id"]
 
 
 def model_features(events: DataFrame) -> DataFrame:
-    """The feature table of the purchase model, nulls as 0, with id and label."""
+    """The feature table of the purchase model, nulls as 0, with id and label.
+
+    The columns it needs are written once; counts, user statistics and rows are read from there.
+    """
+    needed = ["event_id", "event_time", "event_type", "user_id", "price", *ENCODED]
+    events = materialize(events.select(*needed), "model-events")
     with_calendar = events.select(
         "*",
         F.hour("event_time").alias("hour"),
@@ -197,7 +213,7 @@ def model_features(events: DataFrame) -> DataFrame:
         X.is_weekend("event_time").alias("is_weekend"),
     )
     encoded = encode_categories(with_calendar, ENCODED)
-    full = attach_user_stats(encoded).withColumn(
+    full = attach_user_stats(encoded, log=events).withColumn(
         "price_brand_interaction", F.col("price") * F.col("brand_freq")
     )
     return full.select(
@@ -281,24 +297,49 @@ def lagged_demand_dates(dated: DataFrame, target_days: int = 1) -> DataFrame:
 def trailing_product_features(dated: DataFrame, target_days: int = 1) -> DataFrame:
     """Product statistics over the history window of every target date.
 
-    The windows are unrolled to (event_date, target_date) pairs: days x
-    ``target_days`` rows, broadcast, so the events meet their windows by an
-    equality join instead of one scan per date.
+    Events are first reduced to one row per product and day, and to the distinct
+    users and sessions of a product and day.  These meet the (event_date,
+    target_date) pairs, days x ``target_days`` rows that are broadcast, by an
+    equality join; no event is multiplied.
     """
     pairs = lagged_demand_dates(dated, target_days).select(
         "target_date", F.explode(F.sequence("history_start", "history_end")).alias("event_date")
     )
-    return (
-        dated.join(F.broadcast(pairs), "event_date")
-        .groupBy("target_date", "product_id")
+    keys = ["target_date", "product_id"]
+    daily = dated.groupBy("product_id", "event_date").agg(
+        F.count(F.lit(1)).alias("events"),
+        count_type("view").alias("views"),
+        count_type("cart").alias("carts"),
+        F.count("price").alias("n"),
+        F.avg("price").alias("mean"),
+        F.var_pop("price").alias("variance"),
+    )
+    mean = F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n"))
+    square = F.sum(F.col("n") * (F.col("variance") + F.col("mean") * F.col("mean")))
+    spread = F.try_divide(square - F.sum("n") * mean * mean, F.sum("n") - 1)
+    totals = (
+        daily.join(F.broadcast(pairs), "event_date")
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            count_type("view").alias("views"),
-            count_type("cart").alias("cart_adds"),
-            F.count_distinct("user_id").alias("unique_users"),
-            F.avg("price").alias("avg_price"),
-            F.stddev_samp("price").alias("price_std"),
-            F.count_distinct("user_session").alias("unique_sessions"),
+            F.sum("events").alias("total_events"),
+            F.sum("views").alias("views"),
+            F.sum("carts").alias("cart_adds"),
+            mean.alias("avg_price"),
+            F.when(F.sum("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("price_std"),
+        )
+    )
+
+    def distinct_of(column: str, name: str) -> DataFrame:
+        known = dated.where(F.col(column).isNotNull()).select("product_id", "event_date", column).distinct()
+        in_window = known.join(F.broadcast(pairs), "event_date").select(*keys, column).distinct()
+        return in_window.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    return (
+        totals.join(distinct_of("user_id", "unique_users"), keys, "left")
+        .join(distinct_of("user_session", "unique_sessions"), keys, "left")
+        .na.fill(0, ["unique_users", "unique_sessions"])
+        .select(
+            *keys, "total_events", "views", "cart_adds", "unique_users", "avg_price", "price_std", "unique_sessions"
         )
     )
 

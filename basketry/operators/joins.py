@@ -6,43 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import FeatureView
+from ..session import materialize
 from . import cleaning
 
-BROADCAST_ROWS = 100_000
 HOT_SHARE = 1 / 256
-SALTS = 64
 HOUR_SECONDS = 3600
 
 
 # --- many facts, one lookup row per key ---------------------------------------
 
-def attach(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    weight: str,
-    row_id: str = "event_id",
-    broadcast_rows: int = BROADCAST_ROWS,
-    lookup_rows: int | None = None,
-) -> DataFrame:
+def attach(facts: DataFrame, lookup: DataFrame, key: str, weight: str, row_id: str = "event_id") -> DataFrame:
     """Left join of facts with a table holding one row per key.
 
     ``weight`` is the lookup column with the number of fact rows of the key; it
-    is not part of the result.  A lookup of at most ``broadcast_rows`` rows is
-    broadcast after its size has been checked (by a count, unless the caller has
-    measured ``lookup_rows`` already).  A larger one is split: keys
-    owning more than ``HOT_SHARE`` of all rows (at most ``1 / HOT_SHARE`` of
-    them) are broadcast, the others are shuffled, and facts that are already
-    served (or have no key) are spread by a salt instead of meeting in one task.
+    is not part of the result.  The lookup is written once, since it is read
+    three times.  Keys owning more than ``HOT_SHARE`` of all rows (at most
+    ``1 / HOT_SHARE`` of them) are broadcast; the others are joined by key, by
+    broadcast or by shuffle as the planner finds their written size.  Facts that
+    are already served (or have no key) are spread over as many salts as the
+    session has shuffle partitions instead of meeting in one task.
     """
+    spark = facts.sparkSession
+    lookup = materialize(lookup, "lookup")
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = [c for c in lookup.columns if c not in (key, weight)]
-    if lookup_rows is None:
-        lookup_rows = lookup.limit(broadcast_rows + 1).count()
-    if lookup_rows <= broadcast_rows:
-        return facts.join(F.broadcast(lookup.select(key, *values)), key, "left").select(
-            *facts.columns, *values
-        )
-
     total = lookup.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) > total * HOT_SHARE
     hot = lookup.where(is_hot).select(
@@ -52,7 +39,7 @@ def attach(
         F.col(key).alias("_key"), F.lit(0).alias("_zero"), F.struct(*values).alias("_rest")
     )
     served = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salt = F.when(served, F.pmod(F.xxhash64(row_id), F.lit(SALTS)) + 1).otherwise(0).cast("int")
+    salt = F.when(served, F.pmod(F.xxhash64(row_id), F.lit(salts)) + 1).otherwise(0).cast("int")
     return (
         facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
         .withColumn("_salt", salt)

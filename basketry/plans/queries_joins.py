@@ -76,7 +76,7 @@ def merge_daily_moving(t):
 def lookup_join(t):
     """The same lookup through the split path: hot values broadcast, others shuffled."""
     lookup = features.value_frequencies(t.shop_events, "category_id")
-    return joins.attach(t.shop_events, lookup, "category_id", "n", broadcast_rows=0).select(
+    return joins.attach(t.shop_events, lookup, "category_id", "n").select(
         "event_id", "category_id", "freq"
     )
 

@@ -61,7 +61,7 @@ def test_random_split_does_not_shuffle(tables):
 
 def test_split_lookup_spreads_served_rows(tables, no_broadcast):
     lookup = features.value_frequencies(tables.event_log, "product_id")
-    plan = plan_of(joins.attach(tables.event_log, lookup, "product_id", "n", broadcast_rows=0))
+    plan = plan_of(joins.attach(tables.event_log, lookup, "product_id", "n"))
     assert "_salt" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
 
 
