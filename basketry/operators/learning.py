@@ -189,8 +189,9 @@ def train_compare(
 
 def comparison_figures(scored: DataFrame) -> DataFrame:
     """Metrics, confusion counts, specificity and ROC-AUC per model (model, y, score)."""
-    figures = metrics.classification_metrics(scored).join(metrics.confusion_counts(scored), "model")
-    return figures.join(metrics.roc_auc(scored), "model")
+    counts = metrics.score_counts(scored)
+    figures = metrics.classification_of(counts).join(metrics.confusion_of(counts), "model")
+    return figures.join(metrics.auc_of(counts), "model")
 
 
 def feature_importance(model: PipelineModel, columns: list[str], top: int = 20) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import fixed_values as V
+from ..session import materialize
 from .prefix import quantiles, running_totals
 
 FLOAT_EPSILON = 2.220446049250313e-16
@@ -27,18 +28,23 @@ def melt_scores(wide: DataFrame, models: list[str], keep: list[str]) -> DataFram
 
 # --- classification ---------------------------------------------------------------
 
-def _counts(scored: DataFrame, threshold: float) -> DataFrame:
+def score_counts(scored: DataFrame) -> DataFrame:
+    """Labels and latency by (model, score): one pass, written once; all figures of a model follow from it."""
+    latency = F.col("latency") if "latency" in scored.columns else F.lit(None).cast("double")
+    counts = scored.groupBy("model", "score").agg(
+        F.count_if(F.col("y") == 1).alias("pos"),
+        F.count_if(F.col("y") == 0).alias("neg"),
+        F.sum(latency).alias("latency"),
+        F.count(latency).alias("timed"),
+    )
+    return materialize(counts, "score-counts")
+
+
+def _confusion(counts: DataFrame, threshold: float) -> DataFrame:
     p = X.above_half("score", threshold)
-    y = F.col("y")
-    return (
-        scored.select("model", y, p.alias("p"))
-        .groupBy("model")
-        .agg(
-            F.count_if((y == 0) & (F.col("p") == 0)).alias("tn"),
-            F.count_if((y == 0) & (F.col("p") == 1)).alias("fp"),
-            F.count_if((y == 1) & (F.col("p") == 0)).alias("fn"),
-            F.count_if((y == 1) & (F.col("p") == 1)).alias("tp"),
-        )
+    of = lambda label, side: F.coalesce(F.sum(F.when(p == side, F.col(label))), F.lit(0))
+    return counts.groupBy("model").agg(
+        of("neg", 0).alias("tn"), of("neg", 1).alias("fp"), of("pos", 0).alias("fn"), of("pos", 1).alias("tp")
     )
 
 
@@ -47,13 +53,21 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def confusion_counts(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return _counts(scored, threshold).withColumn(
+    return confusion_of(score_counts(scored), threshold)
+
+
+def confusion_of(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    return _confusion(counts, threshold).withColumn(
         "specificity", _ratio(F.col("tn"), F.col("tn") + F.col("fp"))
     )
 
 
 def classification_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Accuracy, and precision, recall and F1 weighted by class support."""
+    return classification_of(score_counts(scored), threshold)
+
+
+def classification_of(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     n = tn + fp + fn + tp
     negatives, positives = tn + fp, tp + fn
@@ -61,7 +75,7 @@ def classification_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFra
     def weighted(of_negative: Column, of_positive: Column) -> Column:
         return _ratio(of_negative * negatives + of_positive * positives, n)
 
-    return _counts(scored, threshold).select(
+    return _confusion(counts, threshold).select(
         "model",
         _ratio(tn + tp, n).alias("accuracy"),
         weighted(_ratio(tn, tn + fn), _ratio(tp, tp + fp)).alias("precision"),
@@ -71,27 +85,21 @@ def classification_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFra
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
-    """Rank AUC, ties counted half; 0.5 if a class or all scores are missing.
-
-    Scores are counted per distinct value first; the negatives below each score
-    come from bucketed running totals, so no task sorts a whole model.
-    """
-    counts = (
-        scored.where(F.col("score").isNotNull())
-        .groupBy("model", "score")
-        .agg(
-            F.count_if(F.col("y") == 1).alias("pos"),
-            F.count_if(F.col("y") == 0).alias("neg"),
-        )
-    )
-    running = running_totals(counts, ["pos", "neg"], "model", "score")
+    """Rank AUC, ties counted half; 0.5 if a class or all scores are missing."""
+    return auc_of(score_counts(scored))
+
+
+def auc_of(counts: DataFrame) -> DataFrame:
+    """The negatives below each score come from bucketed running totals, so no task sorts a whole model."""
+    known = counts.where(F.col("score").isNotNull()).select("model", "score", "pos", "neg")
+    running = running_totals(known, ["pos", "neg"], "model", "score")
     won = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
     auc = running.groupBy("model").agg(
         F.sum(won).alias("won"),
         (F.max("pos_total").cast("double") * F.max("neg_total")).alias("pairs"),
     )
     return (
-        scored.select("model")
+        counts.select("model")
         .distinct()
         .join(auc, "model", "left")
         .select("model", F.coalesce(F.try_divide("won", "pairs"), F.lit(0.5)).alias("roc_auc"))
@@ -99,13 +107,10 @@ def roc_auc(scored: DataFrame) -> DataFrame:
 
 
 def model_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Leaderboard input: all classification figures and the mean latency per model."""
-    latency = scored.groupBy("model").agg(F.avg("latency").alias("latency_ms"))
-    return (
-        classification_metrics(scored, threshold)
-        .join(roc_auc(scored), "model")
-        .join(latency, "model")
-    )
+    """Leaderboard input: all classification figures and the mean latency per model, from one pass."""
+    counts = score_counts(scored)
+    latency = counts.groupBy("model").agg(F.try_divide(F.sum("latency"), F.sum("timed")).alias("latency_ms"))
+    return classification_of(counts, threshold).join(auc_of(counts), "model").join(latency, "model")
 
 
 # --- regression --------------------------------------------------------------------

