@@ -6,8 +6,8 @@ UTF-8 bytes that is exactly what ``bytes.split()`` yields.
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
 
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, tune
+from ..session import materialize, new_path, tune
 
 #: Rows of one Arrow batch: a batch of average documents is a few MB.
 ARROW_ROWS = 1000
@@ -36,14 +36,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = os.path.join(tempfile.mkdtemp(prefix="basketry-"), "basketry.zip")
-        with zipfile.ZipFile(archive, "w") as out:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as out:
             for folder, _, names in os.walk(package):
                 for name in sorted(names):
                     if name.endswith(".py"):
                         path = os.path.join(folder, name)
                         out.write(path, os.path.relpath(path, os.path.dirname(package)))
-        context.addPyFile(archive)  # Spark serves it to every executor
+        archive = new_path(spark, "code") + ".zip"
+        place = context._jvm.org.apache.hadoop.fs.Path(archive)
+        stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+        stream.write(bytearray(packed.getvalue()))
+        stream.close()
+        context.addPyFile(archive)  # from the shared folder to every executor
     return spark
 
 
