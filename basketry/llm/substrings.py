@@ -189,14 +189,15 @@ def search_shards(rows: DataFrame, settings: Settings) -> DataFrame:
 def repeated_runs(keyed: DataFrame, settings: Settings) -> DataFrame:
     """k, runs (array of first and last window start): the repeated windows of documents that have some."""
     found = written(find_contexts(keyed, settings), "contexts")
-    twice = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written, so that the join deals both sides anew and splits the rows of a common anchor.
+    twice = written(found.groupBy("anchor").count().where("count > 1").select("anchor"), "repeated-anchors")
     found = written(found.join(twice, "anchor", "left_semi"), "shared-contexts")
     different = found.groupBy("anchor", "ctx").agg(
         F.count("*").alias("weight"), F.min(F.struct("k", "lo", "n")).alias("place")
     )
     different = written(different, "different-contexts")
     crowded = different.groupBy("anchor").count().where(F.col("count") > settings.hot).select("anchor")
-    crowded = crowded.withColumn("hot", F.lit(True))
+    crowded = written(crowded.withColumn("hot", F.lit(True)), "hot-anchors")
     flagged = different.join(crowded, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     flagged = written(flagged, "asked")
 
