@@ -32,8 +32,8 @@ from .graph import components
 from .support import clash_free, prepare, written
 
 CYCLE = (5, 2, 1)
-#: Rows that share a hash prefix, about.
-SHARE = 10_000
+#: Rows that share a hash prefix, about; and the longest prefix in hex digits, which bounds a pattern's running total.
+SHARE, LONGEST = 1_000, 5
 
 
 def n_words(text: Column) -> Column:
@@ -203,7 +203,8 @@ def mix(
     facts = written(facts, "patterns")
 
     digits = 1
-    while 16**digits * SHARE < sized.count():
+    rows = sized.count()
+    while digits < LONGEST and 16**digits * SHARE < rows:
         digits += 1
     cut = sized.withColumn("cut", F.substring("place", 1, digits))
     starts = cut.groupBy("pattern", "cut").agg(F.sum("size").alias("size")).select(
