@@ -130,7 +130,7 @@ def word_scores(model: Model, words: list[bytes]) -> np.ndarray:
 class WordTable:
     """Scores, letters and scripts of words, each distinct word worked out once while there is room."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __init__(self, model: Model):
         self.model = model
