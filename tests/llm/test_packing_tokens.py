@@ -29,6 +29,17 @@ def test_pieces_give_the_ids_of_whole_texts(name, kind):
             assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 7], repr(text)
 
 
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 40)
+    rng = random.Random(3)
+    plain = Tokenizer.from_file(tokens.default_path("byte_bpe_50k.json"))
+    own = tokens.Encoder(tokens.default_path("byte_bpe_50k.json"), "byte")
+    for _ in range(30):
+        texts = [" ".join(rng.choice("abé") * rng.randrange(1, 5) + rng.choice(["", ".", "x"]) for _ in range(30)) for _ in range(5)]
+        for text, ids in zip(texts, own.encode(texts, 0)):
+            assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_best_fit_against_exhaustive_best():
     rng = random.Random(4)
     for _ in range(60):
