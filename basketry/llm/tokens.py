@@ -109,7 +109,7 @@ class Encoder:
         end = np.array([end_id], self.dtype).tobytes()
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        known, parts, unknown = self.known, [], {}
+        known, parts, unknown = self.known, [], set()
         for text in texts:
             if not text:
                 parts.append([])
@@ -117,7 +117,7 @@ class Encoder:
                 parts.append(None)
             else:
                 pieces = self._pieces(text)
-                unknown.update(dict.fromkeys(p for p in pieces if p not in known))
+                unknown.update(set(pieces).difference(known))
                 parts.append(pieces)
         if unknown:
             self._learn(list(unknown))
