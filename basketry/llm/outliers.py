@@ -6,11 +6,16 @@ point (1/4096), so that all sums are exact and reruns agree.  For each group a
 concentration step bins the squared Mahalanobis distances of its rows, takes
 the bins that hold the nearest ``share`` of them, and estimates mean and
 covariance from those: one aggregation over (group, bin), a bounded number of
-rows for each group however many rows the group has.  Two deterministic starts
-(sum and maximum of the deviations from the medians, in median absolute
-deviations) are carried through the steps; the one whose covariance has the
-smaller determinant wins.  Distances are scaled so that the share's quantile
-has its value under normality; vectors beyond ``cutoff`` are rejected.
+rows for each group however many rows the group has.  The share is one half, so
+that copies of a junk text may hold up to two fifths of a group.  The last bin
+is taken whole only if no more than ``most_share`` of the group is near then;
+of a bin with more tied rows the missing part counts, its sums scaled.
+
+Two deterministic starts (sum and maximum of the deviations from the medians, in
+median absolute deviations) are carried through the steps; the one whose
+covariance has the smaller determinant wins.  Distances are scaled so that the
+share's quantile has its value under normality; vectors beyond ``cutoff`` are
+rejected.
 
 Variances get a floor, since most groups have statistics that are 0 throughout.
 Groups under ``least_rows`` rows are pooled by language, then over all
@@ -42,8 +47,10 @@ STARTS = ("sum", "max")
 @dataclass(frozen=True)
 class Settings:
     #: Share of a group that the estimate rests on, and the chi-square value (5 dimensions) of that share.
-    share: float = 0.75
-    share_value: float = 6.6257
+    share: float = 0.5
+    share_value: float = 4.3515
+    #: Share that the estimate may reach by taking its last bin whole.
+    most_share: float = 0.6
     #: Chi-square value (5 dimensions) beyond which a vector is rejected: probability 0.99999.
     cutoff: float = 30.856
     #: Standard deviation that each dimension has at least.
@@ -176,24 +183,34 @@ def estimate(binned: DataFrame, settings: Settings) -> DataFrame:
     upto = F.sum("n").over(own.orderBy("bin"))
     size = F.sum("n").over(own)
     pairs = list(combinations_with_replacement(DIMENSIONS, 2))
+    wanted = F.ceil(F.col("size") * settings.share)
+    before = F.col("upto") - F.col("n")
     near = (
         binned.withColumn("upto", upto)
         .withColumn("size", size)
-        .where(F.col("upto") - F.col("n") < F.ceil(F.col("size") * settings.share))
+        .where(before < wanted)
+        .withColumn("cut", F.col("upto") > F.greatest(wanted, F.col("size") * settings.most_share))
+        .withColumn("part", (wanted - before) / F.col("n"))
     )
+
+    def taken(c: str) -> Column:
+        """Sum over the whole bins, and the missing part of a last bin that is cut; each sum is exact."""
+        whole, last = (F.sum(F.when(side, F.col(c))).cast("double") for side in (~F.col("cut"), F.col("cut")))
+        part = F.max(F.when(F.col("cut"), F.col("part")))
+        return (F.coalesce(whole, F.lit(0.0)) + F.coalesce(last * part, F.lit(0.0))).alias(c)
+
     sums = near.groupBy("grp", "start").agg(
-        F.sum("n").alias("n"),
+        taken("n"),
         F.max("bin").alias("last_bin"),
-        *[F.sum(f"s_{a}").alias(f"s_{a}") for a in DIMENSIONS],
-        *[F.sum(f"p_{a}_{b}").alias(f"p_{a}_{b}") for a, b in pairs],
+        *[taken(f"s_{a}") for a in DIMENSIONS],
+        *[taken(f"p_{a}_{b}") for a, b in pairs],
     )
-    real = lambda c: F.col(c).cast("double")
     table = sums.select(
         "grp", "start", "last_bin",
-        *[(real(f"s_{a}") / F.col("n") / UNIT).alias(f"m_{a}") for a in DIMENSIONS],
+        *[(F.col(f"s_{a}") / F.col("n") / UNIT).alias(f"m_{a}") for a in DIMENSIONS],
         *[
             (
-                (real(f"p_{a}_{b}") - real(f"s_{a}") * real(f"s_{b}") / F.col("n")) / F.col("n") / UNIT**2
+                (F.col(f"p_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("n")) / F.col("n") / UNIT**2
                 + (settings.floors[DIMENSIONS.index(a)] ** 2 if a == b else 0.0)
             ).alias(f"c_{a}_{b}")
             for a, b in pairs
