@@ -85,6 +85,20 @@ def test_neighbours_in_small_cells_are_close(spark):
     assert found < 1.6 * best
 
 
+def test_neighbours_of_many_points_are_the_nearest(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(50_000, 16))
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "point long, vector array<double>")
+    found = sampling.nearest_points(points, 16, 5, seed=1).where("point % 250 = 0").collect()
+    assert len(found) == 200
+    hits = 0
+    for r in found:
+        gaps = np.linalg.norm(vectors - vectors[r["point"]], axis=1)
+        gaps[r["point"]] = np.inf
+        hits += len({n["neighbour"] for n in r["neighbours"]} & set(np.argsort(gaps)[:5].tolist()))
+    assert hits / 1000 >= 0.9, hits
+
+
 @pytest.fixture(scope="module")
 def training(tables):
     return learning.classification_set(
