@@ -22,7 +22,8 @@ holder of the key can undo.  Mail addresses and the values of ``password=`` or
 drawn from a keyed hash of the whole value, class by class, which keeps their
 form and links equal values as well.
 
-Texts without a digit or ``@`` are passed through unread by the large pattern.
+Texts without a digit, an ``@`` or a secret's key word before ``=`` or ``:`` are
+passed through unread by the large pattern.
 
 Defined results: null stays null, empty stays empty; candidates that fail their
 validation are left alone; other columns are kept as they are; ``n_chars``, if
@@ -40,14 +41,17 @@ ROUNDS = 8
 #: 1900-01-01 to 2099-12-31 are 73,049 = 17 * 4297 days.
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 17, 4297
 
-# One pattern for each kind, fixed values; repetitions are bounded, so that long texts cannot exhaust the matcher.
+# One pattern for each kind, fixed values; repetitions are bounded or possessive, so that long texts cannot exhaust
+# the matcher.
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-SECRET = r"(?i:token|password|passwd|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9_-]{16,256}"
+SECRET = r"(?i:token|password|passwd|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9_-]{16,}+"
 DATE = r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4}|\d\d-\d\d-\d{4})(?!\w|[./-]\d)"
 IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d\d-\d{4}(?!\w|-\d)"
 PHONE = r"(?<![\w+])(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w|-\d)"
 CARD = r"(?<!\w)(?:\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{4} \d{4} \d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\w)"
+#: What a text must hold for any of them to match; a secret may be of letters only.
+ANY_SIGN = r"[0-9@]|(?i:token|password|passwd|secret|api[_-]?key)[ ]{0,3}[=:]"
 ANY = "|".join((MAIL, SECRET, DATE, IP, SSN, PHONE, CARD))
 
 
@@ -171,14 +175,17 @@ def date(m: str, key: str) -> str:
 
 def redrawn(value: str, kind: str, key: str) -> str:
     """Every letter and digit drawn anew from a keyed hash of the value, inside its class."""
-    h = f"sha2(concat_ws('|', {quoted(key)}, '{kind}', {value}, i div 32), 256)"
+    # A long value is hashed once, not anew for each of its characters.
+    source = f"if(length({value}) > 256, sha2({value}, 256), {value})"
+    h = f"sha2(concat_ws('|', {quoted(key)}, '{kind}', seed, i div 32), 256)"
     draw = f"cast(conv(substring({h}, (i % 32) * 2 + 1, 2), 16, 10) as int)"
-    return (
+    drawn = (
         f"array_join(transform(split({value}, ''), (c, i) -> case when c rlike '^[0-9]$' then cast({draw} % 10 as string) "
         f"when c rlike '^[a-f]$' then substring('abcdef', {draw} % 6 + 1, 1) "
         f"when c rlike '^[g-z]$' then char(103 + {draw} % 20) when c rlike '^[A-Z]$' then char(65 + {draw} % 26) "
         "else c end), '')"
     )
+    return with_value(source, "seed", drawn)
 
 
 def mail(m: str, key: str) -> str:
@@ -207,7 +214,7 @@ def pseudonymized(text: str, key: str) -> Column:
     between = f"split({text}, {quoted(ANY)}, -1)"
     changed = f"transform({found}, m -> {pseudonym('m', key)})"
     joined = f"array_join(zip_with({between}, {changed}, (p, q) -> concat(p, coalesce(q, ''))), '')"
-    return F.expr(f"case when {text} rlike '[0-9@]' then if(size({found}) > 0, {joined}, {text}) else {text} end")
+    return F.expr(f"case when {text} rlike {quoted(ANY_SIGN)} then if(size({found}) > 0, {joined}, {text}) else {text} end")
 
 
 def pseudonymize(docs: DataFrame, key: str, column: str = "text") -> DataFrame:

@@ -186,6 +186,19 @@ def test_clean_texts_are_left_alone(spark):
     assert pseudonymized(spark, texts) == texts
 
 
+def test_secrets_of_letters_only_and_long_ones(spark):
+    value = "correct-horse-battery-staple"
+    alone, beside = pseudonymized(spark, [f"password={value}", f"Password: '{value}' of 7"])
+    new = alone.removeprefix("password=")
+    assert re.fullmatch("[a-z]{7}-[a-z]{5}-[a-z]{7}-[a-z]{6}", new) and new != value
+    assert beside == f"Password: '{new}' of 7"  # equal values stay linked
+    long = "0123456789abcdef" * 500
+    for tail in ("", " end"):
+        out = pseudonymized(spark, [f"token={long}{tail}"])[0]
+        assert re.fullmatch(f"token=[0-9a-f]{{8000}}{tail}", out)
+        assert not any(out[6 + i : 22 + i] == long[i : i + 16] for i in range(0, 8000, 16))
+
+
 def test_pseudonyms_awkward_and_empty(spark):
     table = documents(spark, [*awkward_rows(), (50, "ip 1.2.3.4", "en", "a")])
     out = pseudonyms.pseudonymize(table, "k")
