@@ -169,6 +169,7 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
     if not len(lengths) or not lengths[0]:
         return [np.zeros(len(s), np.uint8) for s in scores]
     width = scores[0].shape[1]
+    kind = np.min_scalar_type(width - 1)  # holds the number of every language
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # texts with a word at each step
     starts = np.concatenate([[0], np.cumsum(active)])
     # By step, then by text: the step's scores lie side by side.
@@ -177,24 +178,24 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
         if lengths[row]:
             flat[starts[: lengths[row]] + row] = scores[i]
     state = np.zeros((len(order), width), np.float32)
-    back = np.empty((len(flat), width), np.uint8)
-    own = np.arange(width, dtype=np.uint8)
+    back = np.empty((len(flat), width), kind)
+    own = np.arange(width, dtype=kind)
     for t in range(len(active)):
         n, a = active[t], starts[t]
         s = state[:n]
         best = s.argmax(axis=1)
         switched = s[np.arange(n), best][:, None] - penalty
         stay = s >= switched
-        back[a : a + n] = np.where(stay, own, best[:, None].astype(np.uint8))
+        back[a : a + n] = np.where(stay, own, best[:, None].astype(kind))
         s = np.where(stay, s, switched) + flat[a : a + n]
         state[:n] = s - s.max(axis=1, keepdims=True)  # stays near 0 on texts of any length
-    path = np.empty(len(flat), np.uint8)
+    path = np.empty(len(flat), kind)
     now = state.argmax(axis=1)
     for t in range(len(active) - 1, -1, -1):
         n, a = active[t], starts[t]
         path[a : a + n] = now[:n]
         now[:n] = back[a + np.arange(n), now[:n]]
-    out: list[np.ndarray] = [np.zeros(0, np.uint8)] * len(scores)
+    out: list[np.ndarray] = [np.zeros(0, kind)] * len(scores)
     for row, i in enumerate(order):
         out[i] = path[starts[: lengths[row]] + row]
     return out

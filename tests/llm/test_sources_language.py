@@ -236,6 +236,13 @@ def test_mixed_text_is_cut_into_spans(spark, model):
     assert row["lang_pred"] == "en" and row["spans"][0]["first"] == 0
 
 
+def test_viterbi_with_more_than_256_languages():
+    scores = np.zeros((6, 300), np.float32)
+    scores[:3, 299], scores[3:, 256] = 5, 5
+    (path,) = language.viterbi([scores], 0.7)
+    assert path.tolist() == [299] * 3 + [256] * 3
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(0)
     for _ in range(40):
