@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kdtree, language, minhash, mixing, outliers, packing, preferences, pseudonyms, substrings, token_files
+from . import (
+    filter_audit,
+    infill,
+    kdtree,
+    language,
+    minhash,
+    mixing,
+    outliers,
+    packing,
+    preferences,
+    projected_neighbours,
+    pseudonyms,
+    substrings,
+    token_files,
+)
 from .support import is_held_out, prepare
 
 
@@ -69,6 +83,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_piece_table_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op12_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_kd_tree_top_k": op2_kd_tree_top_k,
@@ -80,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_fm_index_substrings": op9_fm_index_substrings,
     "op10_language_id": op10_language_id,
+    "op11_piece_table_infill": op11_piece_table_infill,
+    "op12_projected_neighbours": op12_projected_neighbours,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: Shares by weight, cut at three times a source's size; whole documents by seeded order, the last in part.
@@ -128,4 +157,77 @@ FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_kd_tree_top_k": OP2_SQL, "op5_source_mixing": OP5_SQL}
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM docs),
+cut AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:n], '') AS suffix
+  FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(words.doc_id > min(words.doc_id) OVER (PARTITION BY text), false) AS e,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM words LEFT JOIN marks ON words.doc_id = marks.doc_id),
+cells AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS fails,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM failing GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT p.name || q.name || r.name || s.name || t.name AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM f p, f q, f r, f s, f t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER ((fails & (own | before)) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & before) = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & before) > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER ((fails & own) > 0 AND (fails & before) = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER ((fails & own) > 0 AND (fails & before) = 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_kd_tree_top_k": OP2_SQL,
+    "op5_source_mixing": OP5_SQL,
+    "op11_piece_table_infill": OP11_SQL,
+    "op13_filter_audit": OP13_SQL,
+}
