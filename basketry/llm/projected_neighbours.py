@@ -7,14 +7,15 @@ distributed directions project the vectors.  The normal law is 2-stable: the squ
 projected distance of a pair, divided by its squared distance, has a chi-square law
 with as many degrees of freedom as there are directions.
 
-The projections of a shard are indexed by a kd-tree.  A query walks its projected
-neighbours in ascending order, best first over box distances, and verifies each by its
-exact inner product.  With r the projected distance of the next one and d the distance
-of the k-th best so far, a point nearer than d that is still unseen has a projected
-distance of at least r, which happens with probability 1 - F(r^2 / d^2); the walk ends
-when F(r^2 / d^2) >= ``confidence``.  So each of the k neighbours is found with at least
-that probability, and no number of candidates is fixed.  The k-th best goes on from
-shard to shard of a group.
+The projections of a shard are indexed by a kd-tree.  A query opens its leaves in
+ascending distance of their boxes and verifies the projected neighbours there by exact
+inner product.  With r the projected distance of the next box and d the distance of the
+k-th best so far, a point nearer than d that is still unseen has a projected distance of
+at least r, which happens with probability 1 - F(r^2 / d^2); the walk ends when
+F(r^2 / d^2) >= ``confidence``, and a point is left out for the same reason.  So each of
+the k neighbours is found with at least that probability, and no number of candidates is
+fixed.  The k-th best goes on from shard to shard of a group.  Queries of a block that
+open the same leaf do so in one matrix product.
 
 Query blocks and groups of shards are rows of written tables that meet in tasks, one
 task a pair; neither goes through the driver.  A group is bounded in bytes, a block in
@@ -47,9 +48,9 @@ class Settings:
     k: int = 20
     directions: int = 16
     confidence: float = 0.95
-    leaf: int = 128
-    shard_bytes: int = 2 << 20  # of vectors as doubles
-    group_shards: int = 16
+    leaf: int = 512
+    shard_bytes: int = 8 << 20  # of vectors as doubles
+    group_shards: int = 8
     least_block: int = 512
     most_block: int = 8192
     seed: int = 20
@@ -92,7 +93,7 @@ def directions(size: int, settings: Settings) -> np.ndarray:
 
 
 class Index:
-    """Projections of a shard in leaf order, with the boxes and links of their kd-tree (-1: leaf)."""
+    """The vectors of a shard in the leaf order of the kd-tree over their projections; a box and a range for each leaf."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, settings: Settings):
         with np.errstate(over="ignore", invalid="ignore"):
@@ -103,33 +104,26 @@ class Index:
         if not np.isfinite(points).all():  # numbers near the end of the doubles: nothing is ruled out
             most, points = np.inf, np.zeros((len(vectors), settings.directions))
         points = points.astype(np.float32)
-        order = np.argsort(ids, kind="stable")
-        parts, nodes = [], []
-
-        def grow(own: np.ndarray) -> int:
-            low, high = points[own].min(axis=0), points[own].max(axis=0)
-            node = len(nodes)
-            nodes.append([low, high, 0, 0, -1, -1])
-            wide = int(np.argmax(high - low))
-            if len(own) <= settings.leaf or low[wide] == high[wide]:
-                nodes[node][2] = sum(map(len, parts))
-                nodes[node][3] = nodes[node][2] + len(own)
-                parts.append(own)
-                return node
+        leaves: list[np.ndarray] = []
+        left = [np.argsort(ids, kind="stable")]
+        while left:
+            own = left.pop()
+            span = points[own].max(axis=0) - points[own].min(axis=0)
+            wide = int(np.argmax(span))
+            if len(own) <= settings.leaf or span[wide] == 0:
+                leaves.append(own)
+                continue
             middle = len(own) // 2
             split = np.argpartition(points[own, wide], middle)
-            nodes[node][4] = grow(own[np.sort(split[:middle])])
-            nodes[node][5] = grow(own[np.sort(split[middle:])])
-            return node
-
-        grow(order)
-        placed = np.concatenate(parts)
+            left += [own[np.sort(split[middle:])], own[np.sort(split[:middle])]]
+        placed = np.concatenate(leaves)
         self.vectors, self.ids, self.points, self.most = vectors[placed], ids[placed], points[placed], float(most)
-        self.low, self.high = (np.array([n[i] for n in nodes], np.float32) for i in (0, 1))
-        self.links = np.array([n[2:] for n in nodes], np.int64)
+        self.low = np.array([points[own].min(axis=0) for own in leaves])
+        self.high = np.array([points[own].max(axis=0) for own in leaves])
+        self.ends = np.cumsum([0, *map(len, leaves)])
 
 
-PARTS = {"ids": np.int64, "points": np.float32, "low": np.float32, "high": np.float32, "links": np.int64}
+PARTS = {"ids": np.int64, "points": np.float32, "low": np.float32, "high": np.float32, "ends": np.int64}
 INDEX = "grp int, size int, width int, most double, vectors binary, " + ", ".join(f"{p} binary" for p in PARTS)
 QUERIES = "block int, size int, query_ids binary, queries binary"
 
@@ -141,89 +135,63 @@ class Opened:
         self.size, self.most = int(row.size), float(row.most)
         kind = np.float32 if row.width == 4 else np.float64
         self.vectors = np.frombuffer(row.vectors, kind).reshape(-1, self.size).astype(np.float64)
-        self.ids, self.points, self.low, self.high, self.links = (
+        self.ids, self.points, self.low, self.high, self.ends = (
             np.frombuffer(getattr(row, name), kind) for name, kind in PARTS.items()
         )
         self.points, self.low, self.high = (
             x.reshape(-1, settings.directions).astype(np.float64) for x in (self.points, self.low, self.high)
         )
-        self.links = self.links.reshape(-1, 4)
+        self.squares = (self.points * self.points).sum(axis=1)
 
 
-class Best:
-    """The k best of a query so far: a heap of (score, -id)."""
+class Block:
+    """Queries of one length with the k best of each so far, heaps of (score, -id)."""
 
-    def __init__(self, query_id: int, vector: np.ndarray, k: int):
-        self.query_id, self.vector, self.k = query_id, vector, k
-        with np.errstate(over="ignore"):
-            self.square = float((vector * vector).sum())
-        self.heap: list[tuple[float, int]] = []
-        self.verified = 0
-
-    def floor(self) -> float:
-        return self.heap[0][0] if len(self.heap) == self.k else -math.inf
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, settings: Settings):
+        self.ids, self.queries, self.k = ids, queries, settings.k
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.squares = (queries * queries).sum(axis=1)
+            projected = queries @ directions(queries.shape[1], settings)[:-1]
+        self.projected = np.where(np.isfinite(projected).all(axis=1, keepdims=True), projected, 0.0)
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
+        self.floor = np.full(len(ids), -np.inf)  # score of the k-th best
+        self.verified = np.zeros(len(ids), np.int64)
+
+    def reach(self, rows: np.ndarray, index: Opened, limit: float) -> np.ndarray:
+        """Squared projected distance from which on the test holds, for each of the queries."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            whole = self.squares[rows] + index.most
+            out = limit * np.maximum(whole - 2 * self.floor[rows], 0.0) + 1e-9 * whole
+        return np.where(np.isfinite(out), out, np.inf)
 
-    def verify(self, index: Opened, places: np.ndarray) -> None:
-        self.verified += len(places)
-        vectors, ids = index.vectors[places], index.ids[places]
+    def verify(self, rows: np.ndarray, index: Opened, start: int, stop: int, near: np.ndarray) -> None:
+        """Exact scores of the near ones of a leaf (queries x points) with the queries."""
+        self.verified[rows] += near.sum(axis=1)
         with np.errstate(over="ignore", invalid="ignore"):
-            scores = vectors @ self.vector
-            slack = 1e-12 * (1 + abs(self.floor())) if self.heap else 0.0
+            scores = self.queries[rows] @ index.vectors[start:stop].T
+            slack = 1e-12 * (1 + np.sqrt(self.squares[rows] * index.most))
+            floor = np.where(np.isfinite(slack), self.floor[rows] - slack, -np.inf)
             # Only what can be among the best is scored again, in an order of its own numbers alone.
-            near = np.flatnonzero((scores >= self.floor() - slack) | ~np.isfinite(scores))
-            near = near[ids[near] != self.query_id]
-            exact = (vectors[near] * self.vector).sum(axis=1)
-        exact = np.where(np.isnan(exact), -math.inf, exact)
-        for score, i in zip(exact.tolist(), ids[near].tolist()):
-            entry = (score, -i)
-            if len(self.heap) < self.k:
-                heapq.heappush(self.heap, entry)
-            elif entry > self.heap[0]:
-                heapq.heapreplace(self.heap, entry)
-
-
-def search(index: Opened, best: Best, projected: np.ndarray, bounds: np.ndarray, limit: float) -> None:
-    """Verify the shard's projected neighbours of a query, nearest first, until the test holds."""
-
-    def reach() -> float:
-        """Squared projected distance from which on the test holds."""
-        if len(best.heap) < best.k or not math.isfinite(index.most):
-            return math.inf
-        gap = best.square + index.most - 2 * best.floor()
-        return limit * max(gap, 0.0) + 1e-9 * (best.square + index.most)
-
-    queue = [(bounds[0], 0)]
-    waiting, places = np.empty(0), np.empty(0, np.int64)  # projected points not yet in turn
-    while queue:
-        r, node = heapq.heappop(queue)
-        ready = waiting <= r
-        if ready.any():
-            best.verify(index, places[ready])
-            waiting, places = waiting[~ready], places[~ready]
-        end = reach()
-        if r > end:
-            return
-        start, stop, left, right = index.links[node]
-        if left >= 0:
-            for child in (left, right):
-                if bounds[child] <= end:
-                    heapq.heappush(queue, (bounds[child], child))
-            continue
-        gaps = index.points[start:stop] - projected
-        gaps = np.einsum("ij,ij->i", gaps, gaps)
-        near = np.flatnonzero(gaps <= end)
-        waiting, places = np.concatenate([waiting, gaps[near]]), np.concatenate([places, near + start])
-    # What waits is taken in steps, so that the falling distance of the k-th best can end the walk.
-    order = np.argsort(waiting)
-    for at in range(0, len(order), index.links.shape[0] + 32):
-        step = order[at : at + index.links.shape[0] + 32]
-        if waiting[step[0]] > reach():
-            return
-        best.verify(index, places[step])
+            hits, places = np.nonzero(near & ~(scores < floor[:, None]))
+            places += start
+            hits = rows[hits]
+            other = index.ids[places] != self.ids[hits]
+            hits, places = hits[other], places[other]
+            exact = (index.vectors[places] * self.queries[hits]).sum(axis=1)
+        exact = np.where(np.isnan(exact), -np.inf, exact)
+        for i, score, found in zip(hits.tolist(), exact.tolist(), index.ids[places].tolist()):
+            heap, entry = self.heaps[i], (score, -found)
+            if len(heap) < self.k:
+                heapq.heappush(heap, entry)
+            elif entry > heap[0]:
+                heapq.heapreplace(heap, entry)
+        for i in np.unique(hits).tolist():
+            if len(self.heaps[i]) == self.k:
+                self.floor[i] = self.heaps[i][0][0]
 
 
 def box_distances(index: Opened, projected: np.ndarray) -> np.ndarray:
-    """Squared distance of each query (row) to the box of each node."""
+    """Squared distance of each query (row) to the box of each leaf."""
     out = np.zeros((len(projected), len(index.low)))
     for j in range(projected.shape[1]):
         x = projected[:, j, None]
@@ -232,20 +200,37 @@ def box_distances(index: Opened, projected: np.ndarray) -> np.ndarray:
     return out
 
 
-def answer(shards: list[Opened], ids: np.ndarray, queries: np.ndarray, settings: Settings) -> list[Best]:
+def search(index: Opened, block: Block, rows: np.ndarray, limit: float) -> None:
+    """Each query opens the leaves in ascending distance of their boxes until the test holds.
+
+    The next projected neighbour is at least as far as the next box.  Of an open leaf, what lies
+    beyond the reach is left out: the reach only falls.
+    """
+    projected = block.projected[rows] if math.isfinite(index.most) else np.zeros_like(block.projected[rows])
+    bounds = box_distances(index, projected)
+    order = np.argsort(bounds, axis=1, kind="stable")
+    open_ = np.arange(len(rows))
+    for turn in range(order.shape[1]):
+        leaf = order[open_, turn]
+        on = bounds[open_, leaf] <= block.reach(rows[open_], index, limit)
+        open_, leaf = open_[on], leaf[on]
+        for one in np.unique(leaf):
+            own = open_[leaf == one]
+            start, stop = index.ends[one : one + 2]
+            gaps = (projected[own] ** 2).sum(axis=1)[:, None] + index.squares[None, start:stop]
+            gaps -= 2 * projected[own] @ index.points[start:stop].T
+            near = gaps <= block.reach(rows[own], index, limit)[:, None]
+            block.verify(rows[own], index, start, stop, near)
+
+
+def answer(shards: list[Opened], ids: np.ndarray, queries: np.ndarray, settings: Settings) -> Block:
     """The best of a group of shards for each query of a block."""
     limit = chi_square_limit(settings.confidence, settings.directions)
-    found = [Best(i, q, settings.k) for i, q in zip(ids.tolist(), queries)]
-    with np.errstate(over="ignore", invalid="ignore"):
-        projected = queries @ directions(queries.shape[1], settings)[:-1]
-    projected = np.where(np.isfinite(projected).all(axis=1, keepdims=True), projected, 0.0)
+    block = Block(ids, queries, settings)
     for index in shards:
-        here = projected if math.isfinite(index.most) else np.zeros_like(projected)
-        for start in range(0, len(found), 512):
-            part = here[start : start + 512]
-            for best, p, bounds in zip(found[start : start + 512], part, box_distances(index, part)):
-                search(index, best, p, bounds, limit if math.isfinite(best.square) else math.inf)
-    return found
+        for start in range(0, len(ids), 512):
+            search(index, block, np.arange(start, min(start + 512, len(ids))), limit)
+    return block
 
 
 # --- tables ----------------------------------------------------------------------
@@ -320,7 +305,11 @@ def nearest(table: DataFrame, query: F.Column, settings: Settings = Settings())
                 continue
             ids = np.frombuffer(q.query_ids, np.int64)
             found = answer(own, ids, np.frombuffer(q.queries, np.float64).reshape(-1, q.size), settings)
-            out += [(int(q.size), i, b.query_id, -e[1], e[0]) for i, b in enumerate(found) for e in b.heap]
+            out += [
+                (int(q.size), i, own_id, -e[1], e[0])
+                for i, (own_id, heap) in enumerate(zip(ids.tolist(), found.heaps))
+                for e in heap
+            ]
         frame = pd.DataFrame(out, columns=["size", "query", "query_id", "vec_id", "score"])
         return frame.assign(block=int(key[1]))
 
