@@ -38,7 +38,7 @@ class Capacity:
     tokens: int = 4096
     documents: int | None = None  # none: as many as there are tokens
     attention: int | None = None  # none: the square of the tokens
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.02, 0.02)
     score: str = "residual"
 
     def vector(self) -> np.ndarray:
@@ -111,8 +111,7 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), shard_rows: int = 4
     """``sequence_id`` and ``offset`` for every piece (a table with ``length``; other columns are kept)."""
     spark = prepare(pieces.sparkSession)
     limit = capacity.vector()
-    # Row numbers of a written table are the same whenever it is read.
-    table = written(pieces, "pieces").withColumn("row", F.monotonically_increasing_id())
+    table = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-table.count() // shard_rows))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:

@@ -60,18 +60,18 @@ class Boundaries:
     """Reads single boundaries of a block without a table of offsets."""
 
     def __init__(self, low_bits: int, low: bytes, high: bytes, samples: bytes):
-        self.low_bits, self.low, self.high = low_bits, low, np.frombuffer(high, np.uint8)
+        self.low_bits, self.low, self.high = low_bits, bytes(low), bytes(high)
         self.samples = np.frombuffer(samples, "<u4")
 
     def select(self, i: int) -> int:
         """The i-th boundary: the place of the i-th one bit, from the sample before it on."""
         place, skip = int(self.samples[i // SAMPLE]), i % SAMPLE
         byte = place // 8
-        rest = int(self.high[byte]) >> (place % 8) << (place % 8)
+        rest = self.high[byte] >> (place % 8) << (place % 8)
         while (count := rest.bit_count()) <= skip:
             skip -= count
             byte += 1
-            rest = int(self.high[byte])
+            rest = self.high[byte]
         for _ in range(skip):
             rest &= rest - 1
         place = byte * 8 + (rest & -rest).bit_length() - 1
@@ -79,12 +79,9 @@ class Boundaries:
         raw = int.from_bytes(self.low[bit // 8 : (bit + self.low_bits + 7) // 8], "little") >> bit % 8
         return (place - i) << self.low_bits | raw & ((1 << self.low_bits) - 1)
 
-    def all(self, n: int) -> np.ndarray:
-        """The first n boundaries, in one pass."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:n]
-        bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: n * self.low_bits]
-        lower = bits.reshape(n, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits))
-        return (ones - np.arange(n) << self.low_bits) | lower
+    def range(self, i: int) -> tuple[int, int]:
+        """Where the ids of the i-th document of the block begin and end."""
+        return self.select(i), self.select(i + 1)
 
 
 def write_token_files(
@@ -142,31 +139,42 @@ def part_starts(blocks: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("part_start"))
 
 
-def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
-    """Per document: doc_id, start, n_tokens, ids_crc32 and, if asked for, the token ids."""
+def read_token_files(
+    spark: SparkSession, path: str, with_ids: bool = False, doc_ids: list[int] | None = None
+) -> DataFrame:
+    """Per document: doc_id, start, n_tokens, ids_crc32 and, if asked for, the token ids.
+
+    Boundaries come one by one from ``select`` on the blocks; no table of offsets is made.
+    With ``doc_ids`` only blocks that hold one of them are opened, and only their ids are cut out.
+    """
     prepare(spark)
     blocks = spark.read.schema(BLOCK).parquet(path)
+    # One number for each part: as many as the writer had tasks.
+    placed = blocks.join(F.broadcast(part_starts(blocks)), "part")
+    wanted = None
+    if doc_ids is not None:
+        wanted = set(doc_ids)
+        placed = placed.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(i).cast("long") for i in sorted(wanted)])))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<bigint>" * with_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for b in batch.itertuples():
-                bounds = Boundaries(b.low_bits, b.low, b.high, b.samples).all(b.n_docs + 1)
+                bounds = Boundaries(b.low_bits, b.low, b.high, b.samples)
                 ids = np.frombuffer(b.ids, f"<u{b.width}")
-                cut = [ids[x:y] for x, y in zip(bounds, bounds[1:])]
-                doc_ids = [None if pd.isna(x) else int(x) for x in b.doc_ids]
-                out = pd.DataFrame({
-                    "doc_id": pd.array(doc_ids, "Int64"),
-                    "start": b.part_start + b.before + bounds[:-1],
-                    "n_tokens": np.diff(bounds),
-                    "ids_crc32": [ids_crc32(x) for x in cut],
-                })
-                if with_ids:
-                    out["ids"] = [x.astype(np.int64) for x in cut]
-                yield out
-
-    # One number for each part: as many as the writer had tasks.
-    return blocks.join(F.broadcast(part_starts(blocks)), "part").mapInPandas(run, schema)
+                rows = []
+                for i, doc_id in enumerate(b.doc_ids):
+                    doc_id = None if pd.isna(doc_id) else int(doc_id)
+                    if wanted is not None and doc_id not in wanted:
+                        continue
+                    start, end = bounds.range(i)
+                    own = ids[start:end]
+                    row = (doc_id, b.part_start + b.before + start, end - start, ids_crc32(own))
+                    rows.append((*row, own.astype(np.int64)) if with_ids else row)
+                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
+                yield out.astype({"doc_id": "Int64"})
+
+    return placed.mapInPandas(run, schema)
 
 
 def token_boundaries(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:

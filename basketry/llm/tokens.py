@@ -1,26 +1,45 @@
 """Token ids of whole texts by the tokenizers library, each distinct piece of text encoded once.
 
-Both vocabularies cut a text into pieces before any merge is applied, and no
-piece spans a word gap.  So the ids of a text are the ids of its pieces one
-after another, and a worker encodes each distinct piece once:
-
-* ``word``: pieces are the runs between ASCII white space; white space has no ids.
-* ``byte``: a text is cut before each single space between two characters that
-  are not white space; the space belongs to the piece that it starts.
+Both vocabularies cut a text into pieces before any merge is applied.  So the ids of a
+text are the ids of its pieces one after another, and a worker encodes each distinct
+piece once.  Texts are cut, many at a time, where a piece is sure to begin; a place that is
+not sure is no cut, and the library finds the rest:
+
+* ``word``: at both ends of ASCII white space, which has no ids;
+* ``byte``: before a single space between two other characters, which belongs to the
+  piece that it starts, and on both sides of such a line feed;
+* both: between a letter and ASCII punctuation after it.
+
+Runs of letters are encoded many to a call; where one ends is told by the bytes that each
+id stands for.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import string
+import unicodedata
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+
+from .support import byte_chunks, utf8
+
+#: Pieces of one generation of a worker's cache; there are two.
+CACHE_PIECES = 250_000
+RUNS = 500
 
-#: A space that stands alone between two other characters starts a new piece.
-ASCII_GAP = re.compile(r"[ \t-\r]+")
-BYTE_CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_PIECES = 500_000
+LETTER, MARK, GAP, HIGH = 1, 2, 4, 8
+#: Class of each byte: ASCII letters, ASCII punctuation, white space and separators, bytes of longer characters.
+CLASSES = np.zeros(256, np.uint8)
+CLASSES[list(string.ascii_letters.encode())] = LETTER
+CLASSES[list(string.punctuation.encode())] = MARK
+CLASSES[[*range(9, 14), *range(28, 33)]] = GAP
+CLASSES[128:] = HIGH
+SPACES = np.zeros(256, bool)
+SPACES[[*range(9, 14), 32]] = True
 
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 
@@ -47,87 +66,157 @@ class Encoder:
             raise ValueError(f"unknown kind of vocabulary: {kind}")
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = kind
-        self.known: dict[str, bytes] = {}
         width = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if width <= 1 << 16 else np.dtype("<u4")
-        # Texts in which a special token's string occurs are encoded whole.
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Ids that end a run of letters (word), or start one that follows a space (byte).
-        self.marks = np.zeros(width, bool)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Bytes that each id stands for: a character of its string is a byte.
+        self.bytes = np.zeros(width, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
-            self.marks[i] = token.endswith("</w>") if kind == "word" else token.startswith("\u0120")
-
-    def _pieces(self, text: str) -> list[str]:
-        if self.kind == "word":
-            return ASCII_GAP.split(text)
-        pieces = BYTE_CUT.split(text)
-        return [pieces[0], *(" " + p for p in pieces[1:])]
-
-    def _encode_runs(self, runs: list[str]) -> None:
-        """Runs of letters, many in one call; told apart by the ids that mark a run's end or start."""
-        ids = np.array(
-            self.tokenizer.encode_batch_fast(
-                [" ".join(runs) if self.kind == "word" else "".join(runs)], add_special_tokens=False
-            )[0].ids,
-            self.dtype,
-        )
-        at = np.flatnonzero(self.marks[ids])
-        if len(at) != len(runs):  # letters that the normalizer turns into something else
-            self._encode_each(runs)
-            return
-        at = [0, *(at + 1)] if self.kind == "word" else [*at, len(ids)]
-        for run, a, b in zip(runs, at, at[1:]):
-            self.known[run] = ids[a:b].tobytes()
-
-    def _encode_each(self, pieces: list[str]) -> None:
-        for piece, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(e.ids, self.dtype).tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces not yet known: letters with full stops or commas after them, then all others."""
-        known, runs, tailed, other = self.known, {}, [], []
+            self.bytes[i] = len(token.removesuffix("</w>") if kind == "word" else token)
+        self.cache = Generations()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_runs(self, runs: list[str], gap: str, leads: bool) -> list[bytes]:
+        """Ids of runs of letters with a gap between them; with ``leads`` the gap belongs to the run that follows."""
+        word = self.kind == "word"
+        normal = (unicodedata.normalize("NFC", r).lower() if word else r for r in runs)
+        sizes = np.fromiter((len(r.encode("utf-8", "surrogatepass")) for r in normal), np.int64, len(runs))
+        ids = self._ids([gap + gap.join(runs) if leads else gap.join(runs)])[0]
+        at = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+        # Bytes before each run and after it; in ``byte`` the gap has an id of its own, or is a run's first byte.
+        step = sizes + (0 if word else 1)
+        ends = np.cumsum(step) - (0 if word or leads else 1)
+        starts = ends - sizes - (1 if leads else 0)
+        a, b = np.searchsorted(at, starts), np.searchsorted(at, ends)
+        whole = (a < len(at)) & (b < len(at))
+        whole[whole] = (at[a[whole]] == starts[whole]) & (at[b[whole]] == ends[whole])
+        if not whole.all() or at[-1] != ends[-1]:  # letters that the normalizer turns into something else
+            return [x.tobytes() for x in self._ids([" " + r if leads else r for r in runs])]
+        return [ids[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist())]
+
+    def _learn(self, pieces: Iterable[bytes]) -> None:
+        young, word = self.cache.young, self.kind == "word"
+        spaced, plain, others = [], [], []
         for piece in pieces:
-            run = piece.rstrip(".,")
-            letters = run if self.kind == "word" else run[1:]
-            if letters.isalpha() and (self.kind == "word" or run[0] == " "):
-                if run not in known:
-                    runs[run] = None
-                if run != piece:
-                    tailed.append((piece, run, piece[len(run):]))
+            text = piece.decode("utf-8", "surrogatepass")
+            if text.isalpha():
+                plain.append((piece, text))
+            elif not word and text[0] == " " and text[1:].isalpha():
+                spaced.append((piece, text[1:]))
             else:
-                other.append(piece)
-        runs = list(runs)
-        for i in range(0, len(runs), 500):
-            self._encode_runs(runs[i : i + 500])
-        tails = {t for _, _, t in tailed}
-        self._encode_each([*other, *(t for t in tails if t not in known)])
-        for piece, run, tail in tailed:
-            known[piece] = known[run] + known[tail]
+                others.append((piece, text))
+        for runs, gap in ((spaced, " "), (plain, " " if word else "\n")):
+            for i in range(0, len(runs), RUNS):
+                keys, texts = zip(*runs[i : i + RUNS])
+                young.update(zip(keys, self._encode_runs(list(texts), gap, bool(runs is spaced))))
+        for (piece, _), ids in zip(others, self._ids([t for _, t in others])):
+            young[piece] = ids.tobytes()
+
+    def _encode_run(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts that are not empty, all in one pass over their bytes."""
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        begins = (word_cuts if self.kind == "word" else byte_cuts)(data)
+        begins[0] = True
+        begins[ends[:-1]] = True
+        offsets = np.append(np.flatnonzero(begins), len(data))
+        buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
+        coded = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, buffers).dictionary_encode()
+        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._learn(self.cache.missing(distinct))
+        known = list(map(self.cache.young.__getitem__, distinct))
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[codes]
+        upto = np.cumsum(own)
+        ids = flat[np.repeat(starts[codes] - (upto - own), own) + np.arange(upto[-1])]
+        # The pieces that end where a text ends.
+        return np.split(ids, upto[np.searchsorted(offsets, ends[:-1]) - 1])
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """Ids of each text (null: none) and the end id."""
-        end = np.array([end_id], self.dtype).tobytes()
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known, parts, unknown = self.known, [], set()
-        for text in texts:
-            if not text:
-                parts.append([])
-            elif any(s in text for s in self.special):
-                parts.append(None)
-            else:
-                pieces = self._pieces(text)
-                unknown.update(set(pieces).difference(known))
-                parts.append(pieces)
-        if unknown:
-            self._learn(list(unknown))
+        end = np.array([end_id], self.dtype)
+        raw = [utf8(t) for t in texts]
+        # Texts in which a special token's string occurs are encoded whole.
+        whole = [any(s in b for s in self.special) for b in raw]
+        done: list[np.ndarray] = []
+        for run in byte_chunks([b for b, special in zip(raw, whole) if b and not special]):
+            self.cache.turn()
+            done += self._encode_run(run)
+        found = iter(done)
         out = []
-        for text, pieces in zip(texts, parts):
-            if pieces is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.append(np.array(ids, self.dtype), np.array([end_id], self.dtype)))
-            else:
-                out.append(np.frombuffer(b"".join([*map(known.__getitem__, pieces), end]), self.dtype))
+        for text, b, special in zip(texts, raw, whole):
+            ids = self._ids([text])[0] if special else next(found) if b else end[:0]
+            out.append(np.append(ids, end))
+        return out
+
+
+def word_cuts(data: np.ndarray) -> np.ndarray:
+    """Where runs of ASCII white space, the runs between them, and punctuation after letters begin."""
+    space = SPACES[data]
+    out = tail_cuts(data)
+    out[1:] |= space[1:] != space[:-1]
+    return out
+
+
+def tail_cuts(data: np.ndarray) -> np.ndarray:
+    """ASCII punctuation after an ASCII letter or one of U+00C0 to U+00FF."""
+    kind = CLASSES[data]
+    out = np.zeros(len(data), bool)
+    out[1:] = (kind[1:] == MARK) & (kind[:-1] == LETTER)
+    at = np.flatnonzero((kind[2:] == MARK) & (data[:-2] == 0xC3)) + 2
+    out[at[~np.isin(data[at - 1], (0x97, 0xB7))]] = True  # the signs of multiplication and division are no letters
+    return out
+
+
+def byte_cuts(data: np.ndarray) -> np.ndarray:
+    """Where a piece of the byte vocabulary is sure to begin."""
+    out = tail_cuts(data)
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[(at > 0) & (at < len(data) - 1)]
+    before, after = data[at - 1], data[at + 1]
+    sure = (CLASSES[before] != GAP) & (CLASSES[after] != GAP)
+    high = before >= 128
+    one, two, three = (data[np.maximum(at[high] - i, 0)] for i in (1, 2, 3))
+    sure[high] &= np.where(two >= 0xC0, solid(two, one, one), solid(three, two, one))
+    high = after >= 128
+    sure[high] &= solid(*(data[np.minimum(at[high] + i, len(data) - 1)] for i in (1, 2, 3)))
+    at = at[sure]
+    out[at] = True
+    out[at[data[at] == 10] + 1] = True
+    return out
+
+
+def solid(lead: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Characters that are sure not to be white space: U+00A1 to U+07FF and U+2010 to U+2027."""
+    return (
+        (lead >= 0xC3) & (lead <= 0xDF)
+        | (lead == 0xC2) & (second >= 0xA1)
+        | (lead == 0xE2) & (second == 0x80) & (third >= 0x90) & (third <= 0xA7)
+    )
+
+
+class Generations:
+    """A bounded cache: when the young generation is full, the old one goes, unless its entries are asked for again."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def turn(self) -> None:
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: Iterable) -> set:
+        """Which of the keys are in neither generation; those of the old one become young again."""
+        out = set(keys).difference(self.young)
+        if self.old:
+            again = out.intersection(self.old)
+            self.young.update(zip(again, map(self.old.__getitem__, again)))
+            out -= again
         return out
 
 

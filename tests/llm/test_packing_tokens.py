@@ -29,6 +29,19 @@ def test_pieces_give_the_ids_of_whole_texts(name, kind):
             assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 7], repr(text)
 
 
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_cuts_beside_unusual_characters(name, kind):
+    """Texts are cut many at a time: borders of texts, of characters and of white space are no place to go wrong."""
+    rng = random.Random(8)
+    letters = [*"aZß×÷éÀ¡«»°", "\xa0", "\x85", "\x1c", "\u2003", "\u2028", "\u2014", "\u201d", "\u3000", "\u200b", "日", "😀", "́"]
+    letters += [" "] * 14 + ["\n"] * 6 + ["\t", "\r\n", "'", "'s", "'ll", "###", ".", ",", "1", "²", "Ⅷ", "ab", "Über"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(25))) for _ in range(3000)]
+    plain = Tokenizer.from_file(tokens.default_path(name))
+    own = tokens.Encoder(tokens.default_path(name), kind)
+    for text, ids in zip(texts, own.encode(texts, 7)):
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 7], repr(text)
+
+
 def test_small_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 40)
     rng = random.Random(3)
@@ -71,6 +84,17 @@ def exhaustive(sizes, room):
     return best[0]
 
 
+def test_all_three_dimensions_choose_the_sequence():
+    """Equally full in tokens, a sequence with less attention left is taken."""
+    rng = np.random.default_rng(12)
+    sizes = rng.integers(1, 4097, size=400)
+    items = np.stack([sizes, np.ones(400), sizes.astype(float) ** 2], axis=1).astype(float)
+    vector, plain = packing.Capacity(), packing.Capacity(weights=(1.0, 0.0, 0.0))
+    a, b = packing.best_fit(items, vector)[0], packing.best_fit(items, plain)[0]
+    assert all(w > 0 for w in vector.weights) and a.tolist() != b.tolist()
+    assert len(set(a)) <= len(set(b)) + 1
+
+
 def check_bins(items, bins, offsets, capacity):
     for b in set(bins):
         own = np.flatnonzero(bins == b)
@@ -125,7 +149,7 @@ def test_elias_fano_round_trip():
         for top in (1, 3, 1000, 100_000):
             bounds = np.concatenate([[0], np.cumsum(rng.integers(1, top + 1, size=n))])
             read = token_files.Boundaries(*token_files.encode_boundaries(bounds))
-            assert read.all(n + 1).tolist() == bounds.tolist()
+            assert [read.range(i) for i in range(n)] == list(zip(bounds.tolist(), bounds[1:].tolist()))
             assert [read.select(i) for i in range(n + 1)] == bounds.tolist()
     _, low, high, _ = token_files.encode_boundaries(np.arange(0, 300_000, 300))
     assert 8 * (len(low) + len(high)) < 1000 * (2 + 9) + 16  # n * (2 + ceil(log2(u / n))) bits
@@ -150,6 +174,16 @@ def test_files_round_trip(spark, tmp_path):
     assert sorted(list(x) for x in found["ids"]) == sorted(ids_of(r[1]) for r in rows)
 
 
+def test_single_documents_are_read_through_select(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(60)), "en", "a") for i in range(400)] + [(None, "no id", "en", "a"), (7, "again", "en", "a")]
+    path = str(tmp_path / "some")
+    token_files.write_token_files(documents(spark, rows), path, block_ids=3000)
+    every = {tuple(r) for r in token_files.read_token_files(spark, path).collect()}
+    some = [tuple(r) for r in token_files.read_token_files(spark, path, doc_ids=[3, 7, 399, 12345]).collect()]
+    assert sorted(r[0] for r in some) == [3, 7, 7, 399] and set(some) <= every
+
+
 def test_files_empty(spark, tmp_path):
     path = str(tmp_path / "none")
     token_files.write_token_files(documents(spark, awkward_rows()).limit(0), path)
