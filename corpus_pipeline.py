@@ -5,14 +5,15 @@ DataFrame; the result is written as Parquet and read again as the next one's doc
 
 * language_id: documents without a recognized language go; a null ``lang`` is filled.
 * near_dedup: of each group of near-duplicates (5-word shingles, Jaccard 0.8 or
-  more) the document with the smallest id stays.  Rows that repeat an id are one
-  document; rows without an id stay.
+  more) the document with the smallest id stays, one without an id only if none has
+  one.  A document is an id and a text: different texts of one id are different
+  documents, and of rows that repeat both the one with the smallest other columns stays.
 * pseudonyms: personal numbers and dates become keyed pseudonyms.
 * source_mixing: documents are left out or repeated, at most three times, so that
   each source comes near its share; a repeated document is that many rows.
 * packing: token ids of every document, packed into sequences of 4096.
 
-All stages but the last return the columns of their input.  An empty table runs
+All stages but the last return the columns of their input, whatever their names.  An empty table runs
 through all stages.  SQL cannot express a learned model or a tokenizer, so ORACLE_SQL
 is None; the stages are tested against plain versions.
 """
@@ -33,11 +34,38 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.train(docs, ~is_held_out()))
 
 
+def unused(docs: DataFrame, stem: str) -> str:
+    """A column name that the documents do not have, in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
+def quoted(name: str) -> F.Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, minhash.Settings(shingle=5, percent=80))
-    firsts = found.where("kept and doc_id is not null").select("doc_id")
-    one = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    columns = [quoted(c) for c in docs.columns]
+    key, row = unused(docs, "dedup key"), unused(docs, "dedup row")
+    # The key depends on the row alone, so it is the same whenever the table is read.
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(
+        keyed.select(quoted(key).alias("doc_id"), "text"), minhash.Settings(shingle=5, percent=80)
+    )
+    groups = written(found.select("doc_id", "component_id").distinct(), "dedup-groups")
+    documents = keyed.select(quoted(key).alias("own"), "doc_id").distinct()
+    order = F.struct(F.col("a.doc_id").isNull(), F.col("a.doc_id"), F.col("a.own"))
+    firsts = (
+        documents.alias("a")
+        .join(groups.alias("g"), F.col("a.own") == F.col("g.doc_id"))
+        .groupBy("g.component_id")
+        .agg(F.min_by("a.own", order).alias("first"))
+    )
+    kept = keyed.join(firsts.select(F.col("first").alias(key)), key, "left_semi")
+    one = kept.groupBy(quoted(key)).agg(F.min(F.struct(*columns)).alias(row))
+    return one.select(*[quoted(row).getField(c).alias(c) for c in docs.columns])
 
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,14 +73,15 @@ def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Row numbers of a written table are the same whenever it is read.
-    numbered = docs.withColumn("mix row", F.monotonically_increasing_id())
-    plan = mixing.mix(numbered, whole=True, keep=("mix row",)).where("taken > 0")
-    copies = plan.select("`mix row`", F.expr("cast(taken div size as int)").alias("mix copies"))
+    row, copies, copy = (unused(docs, f"mix {name}") for name in ("row", "copies", "copy"))
+    # The numbers are part of a written table: both reads see the same.
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    plan = mixing.mix(numbered, whole=True, keep=(row,)).where("taken > 0")
+    wanted = plan.select(quoted(row), F.expr("cast(taken div size as int)").alias(copies))
     return (
-        numbered.join(copies, "mix row")
-        .withColumn("mix copy", F.explode(F.sequence(F.lit(1), F.col("mix copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        numbered.join(wanted, row)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), quoted(copies))))
+        .select(*[quoted(c) for c in docs.columns])
     )
 
 
