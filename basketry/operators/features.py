@@ -9,6 +9,7 @@ from ..functions import expressions as X
 from ..functions.fixed_values import MODEL_FEATURES
 from ..schemas import EVENT_TYPES
 from ..session import materialize
+from .history import user_stats_asof
 from .joins import attach
 
 
@@ -199,9 +200,10 @@ ENCODED = ["brand", "category_id", "product_id"]
 
 
 def model_features(events: DataFrame) -> DataFrame:
-    """The feature table of the purchase model, nulls as 0, with id and label.
+    """The feature table of the purchase model, nulls as 0, with id, label and the encoded categories as they are.
 
-    The columns it needs are written once; counts, user statistics and rows are read from there.
+    User statistics are as of the event: of the user's earlier events alone, so no row holds its own label
+    or a later one.  The columns it needs are written once; counts and rows are read from there.
     """
     needed = ["event_id", "event_time", "event_type", "user_id", "price", *ENCODED]
     events = materialize(events.select(*needed), "model-events")
@@ -213,13 +215,11 @@ def model_features(events: DataFrame) -> DataFrame:
         X.is_weekend("event_time").alias("is_weekend"),
     )
     encoded = encode_categories(with_calendar, ENCODED)
-    full = attach_user_stats(encoded, log=events).withColumn(
-        "price_brand_interaction", F.col("price") * F.col("brand_freq")
-    )
-    return full.select(
+    return user_stats_asof(encoded).select(
         "event_id",
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in MODEL_FEATURES],
         X.purchase_label().alias("target"),
+        *ENCODED,
     )
 
 

@@ -1,10 +1,19 @@
-"""Spark ML training, evaluation and scoring for the purchase and the demand model."""
+"""Spark ML training, evaluation and scoring for the purchase and the demand model.
+
+Learners read their input once per pass, hundreds of times in all: it is assembled once,
+kept in memory and on disk (and is recomputed from a written table if an executor is
+lost), in partitions in proportion to its rows.  Independent fits run side by side.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -22,9 +31,17 @@ from ..functions import expressions as X
 from ..functions.fixed_values import DEMAND_FEATURES, MODEL_FEATURES
 from ..session import materialize, shared_dir
 from . import cleaning, joins, metrics, ranking
-from .features import standard_scale
+from .features import ENCODED, standard_scale
+from .history import ordered_target_statistics, target_statistics
+from .kernel import RandomFourierFeatures
 from .sampling import random_split, smote_oversample, stratified_split
 
+#: Rows of a partition of the learners' input.
+TRAIN_PARTITION_ROWS = 10_000
+#: Fits that run at the same time.
+FITS = 4
+TARGET_STATISTICS = [f"{c}_ts" for c in ENCODED]
+
 
 @dataclass(frozen=True)
 class Effort:
@@ -36,12 +53,14 @@ class Effort:
     demand_trees: int = 100
     demand_depth: int = 10
     boosting_rounds: int = 200
+    kernel_features: int = 256
 
 
-# Boosting presets: depth, learning rate, row subsampling.
+# Boosting presets, fixed values: depth, learning rate, row subsampling.  ``categories`` adds the label's ordered
+# statistics of the encoded categories to the inputs.
 BOOSTING = {
     "boosted_depth6": dict(maxDepth=6, stepSize=0.1, subsamplingRate=1.0),
-    "boosted_depth6_weighted": dict(maxDepth=6, stepSize=0.1, subsamplingRate=1.0, weighted=True),
+    "boosted_depth6_weighted": dict(maxDepth=6, stepSize=0.1, subsamplingRate=1.0, weighted=True, categories=True),
     "boosted_depth5_subsampled": dict(maxDepth=5, stepSize=0.1, subsamplingRate=0.8),
     "boosted_depth7": dict(maxDepth=7, stepSize=0.1, subsamplingRate=1.0),
 }
@@ -68,6 +87,7 @@ class TrainingSet:
     test: DataFrame
     columns: list[str]
     train_rows: int
+    statistics: list[str] = field(default_factory=list)
 
 
 def classification_set(
@@ -80,6 +100,8 @@ def classification_set(
 
     Without ``exact_shares`` the split is decided row by row from the id, which
     saves a shuffle of the feature table and keeps the shares up to sampling error.
+    Where the features carry the encoded categories, the label's ordered statistics of
+    the training part are added, and its whole statistics to the test part.
 
     The learners read their input many times, so both parts are written to the
     shared folder first: a lost executor costs a re-read, not the feature joins.
@@ -89,13 +111,19 @@ def classification_set(
     else:
         split = random_split(features, "event_id")
     split = materialize(split, "split")
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    scaled_train = standard_scale(train, columns).drop("split")
-    scaled_test = standard_scale(test, columns, fitted_on=train).drop("split")
+    train, test = split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
+    statistics = TARGET_STATISTICS if set(ENCODED) <= set(features.columns) else []
+    if statistics:
+        learned = train
+        train = materialize(ordered_target_statistics(learned, ENCODED, "target", "event_id").drop(*ENCODED), "train-part")
+        test = target_statistics(test, learned, ENCODED, "target", "event_id").drop(*ENCODED)
+    inputs = [*columns, *statistics]
+    scaled_train = standard_scale(train, inputs)
+    scaled_test = standard_scale(test, inputs, fitted_on=train)
     if oversample:
-        scaled_train = smote_oversample(materialize(scaled_train, "scaled"), columns)
+        scaled_train = smote_oversample(materialize(scaled_train, "scaled"), inputs)
     train = materialize(weighted(scaled_train), "train")
-    return TrainingSet(train, materialize(scaled_test, "test"), columns, train.count())
+    return TrainingSet(train, materialize(scaled_test, "test"), columns, train.count(), statistics)
 
 
 def assemble(columns: list[str]) -> VectorAssembler:
@@ -113,43 +141,78 @@ def logistic(effort: Effort, rows: int, regularisation_c: float = 1.0) -> Logist
 
 
 def forest(effort: Effort, rows: int = 0) -> RandomForestClassifier:
+    """Deep trees: room for many nodes a pass, and each row's node kept from pass to pass."""
     return RandomForestClassifier(
         labelCol="target", weightCol="weight", numTrees=effort.trees,
         maxDepth=effort.tree_depth, minInstancesPerNode=2, seed=42,
+        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )
 
 
 def boosted(effort: Effort, preset: str) -> GBTClassifier:
-    options = dict(BOOSTING[preset])
+    options = {k: v for k, v in BOOSTING[preset].items() if k not in ("weighted", "categories")}
     model = GBTClassifier(
-        labelCol="target", maxIter=effort.boosting_rounds, seed=42, checkpointInterval=10,
-        **{k: v for k, v in options.items() if k != "weighted"},
+        labelCol="target", maxIter=effort.boosting_rounds, seed=42, checkpointInterval=10, **options
     )
-    return model.setWeightCol("weight") if options.get("weighted") else model
+    return model.setWeightCol("weight") if BOOSTING[preset].get("weighted") else model
 
 
 def linear_svm(effort: Effort, rows: int, regularisation_c: float = 1.0) -> LinearSVC:
-    """Linear kernel only; there is no distributed RBF kernel in Spark."""
     return LinearSVC(
         labelCol="target", weightCol="weight", maxIter=effort.linear_rounds,
         regParam=1.0 / (regularisation_c * max(rows, 1)), standardization=False, tol=1e-3,
     )
 
 
+def kernel_svm(effort: Effort, rows: int, regularisation_c: float = 1.0) -> Pipeline:
+    """RBF kernel by random Fourier features in front of a linear machine."""
+    mapped = RandomFourierFeatures(inputCol="features", outputCol="kernel_features", size=effort.kernel_features)
+    return Pipeline(stages=[mapped, linear_svm(effort, rows, regularisation_c).setFeaturesCol("kernel_features")])
+
+
 def classifiers(effort: Effort, rows: int) -> dict[str, Callable]:
     table = {
         "logistic_regression": lambda: logistic(effort, rows),
         "random_forest": lambda: forest(effort, rows),
-        "linear_svm": lambda: linear_svm(effort, rows),
+        "rbf_svm": lambda: kernel_svm(effort, rows),
     }
     for preset in BOOSTING:
         table[preset] = lambda preset=preset: boosted(effort, preset)
     return table
 
 
-def fit(data: TrainingSet, estimator) -> PipelineModel:
+def inputs_of(data: TrainingSet, name: str) -> list[str]:
+    return [*data.columns, *(data.statistics if BOOSTING.get(name, {}).get("categories") else [])]
+
+
+@contextmanager
+def kept(df: DataFrame, rows: int) -> Iterator[DataFrame]:
+    """The table in partitions in proportion to its rows, kept while it is learned from."""
+    parts = max(1, -(-rows // TRAIN_PARTITION_ROWS))
+    held = df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
+def fit(data: TrainingSet, estimator, name: str = "") -> PipelineModel:
     shared_dir(data.train.sparkSession)
-    return Pipeline(stages=[assemble(data.columns), estimator]).fit(data.train)
+    front = assemble(inputs_of(data, name))
+    with kept(front.transform(data.train).select("features", "target", "weight"), data.train_rows) as held:
+        fitted = estimator.fit(held)
+    stages = fitted.stages if isinstance(fitted, PipelineModel) else [fitted]
+    return PipelineModel(stages=[front, *stages])
+
+
+def fit_all(data: TrainingSet, effort: Effort, names: list[str]) -> dict[str, PipelineModel]:
+    """One fit for each name, a few at a time; the longest begin first."""
+    table = classifiers(effort, data.train_rows)
+    spark = data.train.sparkSession
+    ordered = sorted(names, key=lambda n: (n != "random_forest", n not in BOOSTING))
+    with ThreadPoolExecutor(FITS) as pool:
+        run = inheritable_thread_target(spark)(lambda n: fit(data, table[n](), n))
+        return dict(zip(ordered, pool.map(run, ordered)))
 
 
 def positive_score(model: PipelineModel) -> Column:
@@ -173,18 +236,15 @@ def evaluate(model: PipelineModel, data: TrainingSet, name: str) -> DataFrame:
 def train_compare(
     data: TrainingSet, effort: Effort, names: list[str] | None = None, models: dict[str, PipelineModel] | None = None
 ) -> DataFrame:
-    """Leaderboard over the named classifiers: one distributed fit each, unless it is among ``models``."""
-    models = models or {}
-    table = classifiers(effort, data.train_rows)
+    """Leaderboard over the named classifiers: fits side by side, unless a model is among ``models``."""
+    models = dict(models or {})
+    names = names or list(classifiers(effort, data.train_rows))
+    models |= fit_all(data, effort, [n for n in names if n not in models])
     board = None
-    for name in names or list(table):
-        scored = materialize(
-            score(models.get(name) or fit(data, table[name]()), data.test, ["event_id", F.col("target").alias("y")])
-            .withColumn("model", F.lit(name)),
-            "scored",
-        )
+    for name in names:
+        scored = score(models[name], data.test, ["event_id", F.col("target").alias("y")]).withColumn("model", F.lit(name))
         board = scored if board is None else board.unionByName(scored)
-    return ranking.leaderboard(comparison_figures(board))
+    return ranking.leaderboard(comparison_figures(materialize(board, "scored")))
 
 
 def comparison_figures(scored: DataFrame) -> DataFrame:

@@ -128,12 +128,12 @@ def scalar_median(df: DataFrame, column: str) -> Column:
     return column_quantiles(df, [column], {"median": 0.5}).select("median").scalar()
 
 
-def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "seq") -> DataFrame:
-    """0-based position of every row in the order (order, identifier).
+def ordered_cells(df: DataFrame, order: str, identifier: str) -> DataFrame:
+    """Adds ``_order`` (microseconds), ``_bucket`` and ``_part``: cells that follow (order, identifier).
 
     A time stamp shared by very many rows is always an edge value, and the rows
     on an edge are kept apart from the open interval before it and cut further
-    along the identifier.  No bucket can therefore hold a large share of the rows.
+    along the identifier.  No cell can therefore hold a large share of the rows.
     """
     keyed = df.withColumn("_order", F.unix_micros(order))
     edges = keyed.agg(F.struct(_marks("_order").alias("times"), _marks(identifier).alias("ids"))).scalar()
@@ -143,10 +143,15 @@ def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "se
     placed = _with_bucket(keyed, F.col("_times"), F.col("_order"), "_bucket")
     placed = _with_bucket(placed, F.col("_ids"), F.col(identifier), "_id_bucket")
     on_edge = F.coalesce(F.try_element_at("_times", F.col("_bucket") + 1) == F.col("_order"), F.lit(False))
-    tagged = placed.withColumn(
+    return placed.withColumn(
         "_part", F.when(on_edge, F.col("_id_bucket") + 1).otherwise(0)
     ).drop("_id_bucket", "_edges", "_times", "_ids")
 
+
+def sequence_numbers(df: DataFrame, order: str, identifier: str, name: str = "seq") -> DataFrame:
+    """0-based position of every row in the order (order, identifier), from the sizes of ``ordered_cells``."""
+    tagged = ordered_cells(df, order, identifier)
+
     # At most BUCKETS intervals, and one row per part of an edge value.
     sizes = tagged.groupBy("_bucket", "_part").agg(F.count(F.lit(1)).alias("_rows"))
     per_bucket = sizes.groupBy("_bucket").agg(F.sum("_rows").alias("_rows"))
