@@ -145,7 +145,7 @@ def forest(effort: Effort, rows: int = 0) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol="target", weightCol="weight", numTrees=effort.trees,
         maxDepth=effort.tree_depth, minInstancesPerNode=2, seed=42,
-        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
+        maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10,
     )
 
 

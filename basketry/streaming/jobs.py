@@ -12,10 +12,12 @@ any row was dropped as too late, unless the caller allows it.
 
 from __future__ import annotations
 
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import alerts, decisions, drift
 from ..operators.features import count_type
@@ -90,18 +92,51 @@ class LateRows(RuntimeError):
     """A stateful job dropped rows that came after the allowed lateness."""
 
 
-def dropped_rows(query) -> int:
-    """Rows that the stateful operators of a finished query left out as too late."""
-    return sum(
-        int(state.numRowsDroppedByWatermark) for progress in query.recentProgress for state in progress.stateOperators
-    )
+class DroppedRows(StreamingQueryListener):
+    """Rows that stateful operators leave out as too late, summed over every batch of each run of a query.
+
+    A query keeps the progress of its last hundred batches only; this is told of all of them.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        late = sum(int(state.numRowsDroppedByWatermark) for state in event.progress.stateOperators)
+        self.rows[run] = self.rows.get(run, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, query, timeout: float = 120.0) -> int:
+        """The sum for a query that has ended; its last event follows all of its progress."""
+        run = str(query.runId)
+        if not self._end(run).wait(timeout):
+            raise TimeoutError(f"no end of stream {run} was reported within {timeout} seconds")
+        return self.rows.pop(run, 0)
 
 
 def collect_batches(stream: DataFrame, name: str, mode: str = "append", allow_late: bool = False) -> DataFrame:
     """Run to completion and read back what all micro-batches wrote."""
     spark = stream.sparkSession
     path = new_path(spark, name)
-    late = dropped_rows(run_batches(stream, _batch_files(path), name, mode))
+    dropped = DroppedRows()
+    spark.streams.addListener(dropped)
+    try:
+        late = dropped.of(run_batches(stream, _batch_files(path), name, mode))
+    finally:
+        spark.streams.removeListener(dropped)
     if late and not allow_late:
         raise LateRows(f"{name}: {late} rows came later than the allowed lateness")
     schema = stream.withColumn("batch_id", F.lit(0).cast("long")).schema

@@ -91,6 +91,20 @@ def test_late_rows_are_an_error_unless_allowed(tables, stream):
     assert sum(got.values()) == 2 * tables.all_events.count()
 
 
+def test_rows_dropped_in_any_batch_are_counted(spark, stream):
+    """A query keeps the progress of few batches; all of them count."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        dropped = jobs.DroppedRows()
+        spark.streams.addListener(dropped)
+        query = jobs.run_batches(jobs.inference_metrics(jobs.request_stream(stream)), jobs._batch_files(new_path(spark, "t-drop")), "t-drop")
+        kept = sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
+        assert len(query.recentProgress) <= 1 and dropped.of(query) > kept
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(dropped)
+
+
 def test_repeated_batch_replaces_its_own_output(spark, tables):
     path = new_path(spark, "t-repeat")
     write = jobs._batch_files(path)
