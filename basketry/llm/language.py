@@ -251,10 +251,7 @@ def _count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 
 
 def label(docs: DataFrame, model: Model, settings: Settings = Settings(), spans: bool = False) -> DataFrame:
-    """doc_id, text, lang_pred, score and, if asked for, spans (first word, words, language) of every row.
-
-    All other columns of ``docs`` are kept under their own names.
-    """
+    """doc_id, lang_pred, score and, if asked for, spans (first word, words, language) of every row; no other columns."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS x languages numbers, whatever the input
     penalty = settings.switch_penalty
