@@ -88,27 +88,23 @@ RETRAIN_MAX_AGE_DAYS = 30
 RETRAIN_MIN_NEW_ROWS = 1000
 UNKNOWN_MODEL_AGE_DAYS = 365
 
-# --- fixed values: alert groups, their channels and thresholds ----------------
+# --- fixed values: alert groups and their channels ----------------------------
 ALERT_GROUPS = {
     "data_drift": {
         "enabled": True,
         "channels": ["slack", "email"],
-        "thresholds": {"psi": 0.2, "ks": 0.1, "missing_values": 0.1, "range_violations": 1.0},
     },
     "model_performance": {
         "enabled": True,
         "channels": ["slack"],
-        "thresholds": {"accuracy_drop": 0.1, "auc_drop": 0.05, "f1_score": 0.7},
     },
     "retrain": {
         "enabled": True,
         "channels": ["slack", "email"],
-        "thresholds": {"data_drift": 0.3, "accuracy_drop": 0.15, "model_age_days": 30.0},
     },
     "system": {
         "enabled": True,
         "channels": ["slack"],
-        "thresholds": {"disk_usage": 0.8, "memory_usage": 0.8, "cpu_usage": 0.8},
     },
 }
 
