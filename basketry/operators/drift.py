@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..session import materialize
+from . import categories
 from .cleaning import null_profile
 from .prefix import running_totals, unpivot
 from .profile import bin_index
@@ -199,22 +200,41 @@ def drift_summary(
     columns: list[str],
     psi_limit: float = V.PSI_LIMIT,
     ks_limit: float = V.KS_LIMIT,
+    categorical: list[str] = (),
+    js_limit: float = V.JS_LIMIT,
 ) -> DataFrame:
-    """One row: score (largest PSI), drifted columns, dataset flag, missing, ranges."""
-    drifted = (F.col("psi") > psi_limit) | (F.col("ks_statistic") > ks_limit)
-    return (
-        drift_detail(reference, current, columns)
-        .agg(
-            F.max("psi").alias("drift_score"),
-            F.count_if(drifted).alias("drifted_columns"),
-            F.count(F.lit(1)).alias("total_columns"),
-            F.max("current_rate").alias("max_missing_rate"),
-            F.coalesce(F.sum("violation"), F.lit(0)).alias("range_violations"),
-        )
-        .withColumn(
-            "dataset_drift",
-            F.when(F.col("drifted_columns") * 2 >= F.col("total_columns"), 1).otherwise(0),
+    """One row: score (largest PSI), drifted columns, dataset flag, missing, ranges, new categories.
+
+    A numeric column drifts by PSI or KS, a column of ``categorical`` by its
+    Jensen-Shannon distance; both kinds count alike for the data set.
+    """
+    figures = drift_detail(reference, current, columns).select(
+        "psi",
+        ((F.col("psi") > psi_limit) | (F.col("ks_statistic") > ks_limit)).alias("drifted"),
+        "current_rate",
+        "violation",
+        F.lit(0).cast("long").alias("new_categories"),
+    )
+    if categorical:
+        figures = figures.unionByName(
+            categories.categorical_drift(reference, current, categorical, js_limit).select(
+                F.lit(None).cast("double").alias("psi"),
+                (F.col("drifted") == 1).alias("drifted"),
+                "current_rate",
+                F.lit(0).alias("violation"),
+                "new_categories",
+            )
         )
+    return figures.agg(
+        F.max("psi").alias("drift_score"),
+        F.count_if("drifted").alias("drifted_columns"),
+        F.count(F.lit(1)).alias("total_columns"),
+        F.max("current_rate").alias("max_missing_rate"),
+        F.coalesce(F.sum("violation"), F.lit(0)).alias("range_violations"),
+        F.coalesce(F.sum("new_categories"), F.lit(0)).alias("new_categories"),
+    ).withColumn(
+        "dataset_drift",
+        F.when(F.col("drifted_columns") * 2 >= F.col("total_columns"), 1).otherwise(0),
     )
 
 

@@ -221,11 +221,43 @@ ranges AS (
   SELECT *, CASE WHEN current_min < reference_min OR current_max > reference_max THEN 1 ELSE 0 END AS violation,
          coalesce(abs((current_mean - reference_mean) / nullif(reference_mean, 0)) * 100, 0.0) AS mean_change_pct
   FROM sides),
+category_watch AS (
+  SELECT "column", category, event_time >= TIMESTAMP '2024-01-16' AS is_current
+  FROM (SELECT event_time, 'event_type' AS "column", event_type AS category FROM shop_events
+        UNION ALL SELECT event_time, 'brand', brand FROM shop_events
+        UNION ALL SELECT event_time, 'category_id', category_id FROM shop_events)),
+category_sides AS (
+  SELECT "column", category, r, c, sum(r) OVER w AS nr, sum(c) OVER w AS nc, r / sum(r) OVER w::DOUBLE AS p, c / sum(c) OVER w::DOUBLE AS q
+  FROM (SELECT "column", category, count(*) FILTER (NOT is_current) AS r, count(*) FILTER (is_current) AS c
+        FROM category_watch WHERE category IS NOT NULL GROUP BY 1, 2)
+  WINDOW w AS (PARTITION BY "column")),
+category_parts AS (
+  SELECT *, (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS divergence,
+         (r - (r + c) * nr / (nr + nc)) ** 2 / ((r + c) * nr / (nr + nc)) + (c - (r + c) * nc / (nr + nc)) ** 2 / ((r + c) * nc / (nr + nc)) AS chi
+  FROM category_sides),
+category_rates AS (
+  SELECT "column", avg(CASE WHEN category IS NULL THEN 1.0 ELSE 0.0 END) FILTER (NOT is_current) AS reference_rate,
+         avg(CASE WHEN category IS NULL THEN 1.0 ELSE 0.0 END) FILTER (is_current) AS current_rate
+  FROM category_watch GROUP BY 1),
+category_figures AS (
+  SELECT "column", count(*) AS categories, count(*) FILTER (r = 0) AS new_categories, count(*) FILTER (c = 0) AS vanished_categories,
+         sqrt(greatest(sum(divergence), 0)) AS js_distance, sum(chi) AS chi_square, count(*) - 1 AS degrees
+  FROM category_parts GROUP BY 1),
+category_drift AS (
+  SELECT f.*, reference_rate, current_rate, CASE WHEN js_distance > 0.1 THEN 1 ELSE 0 END AS drifted,
+         1 - (SELECT sum(exp((degrees / 2.0::DOUBLE + j) * ln(chi_square / 2) - chi_square / 2 - lgamma(degrees / 2.0::DOUBLE + j + 1)))
+              FROM range(2000) AS s(j)) AS p_value
+  FROM category_figures f JOIN category_rates USING ("column")),
+drift_flags AS (
+  SELECT psi, psi > 0.2 OR ks_statistic > 0.1 AS drifted, current_rate, violation, 0 AS new_categories
+  FROM psi JOIN ks USING ("column") JOIN ranges USING ("column")
+  UNION ALL SELECT NULL, drifted = 1, current_rate, 0, new_categories FROM category_drift),
 drift_summary AS (
-  SELECT max(psi) AS drift_score, count(*) FILTER (psi > 0.2 OR ks_statistic > 0.1) AS drifted_columns,
-         count(*) AS total_columns, max(current_rate) AS max_missing_rate, CAST(sum(violation) AS BIGINT) AS range_violations,
-         CASE WHEN count(*) FILTER (psi > 0.2 OR ks_statistic > 0.1) * 2 >= count(*) THEN 1 ELSE 0 END AS dataset_drift
-  FROM psi JOIN ks USING ("column") JOIN ranges USING ("column")),
+  SELECT max(psi) AS drift_score, count(*) FILTER (drifted) AS drifted_columns, count(*) AS total_columns,
+         max(current_rate) AS max_missing_rate, CAST(sum(violation) AS BIGINT) AS range_violations,
+         CAST(sum(new_categories) AS BIGINT) AS new_categories,
+         CASE WHEN count(*) FILTER (drifted) * 2 >= count(*) THEN 1 ELSE 0 END AS dataset_drift
+  FROM drift_flags),
 confusion AS (
   SELECT model, count(*) FILTER (y = 0 AND score <= 0.5) AS tn, count(*) FILTER (y = 0 AND score > 0.5) AS fp,
          count(*) FILTER (y = 1 AND score <= 0.5) AS fn, count(*) FILTER (y = 1 AND score > 0.5) AS tp

@@ -114,6 +114,27 @@ class Tables:
         )
 
     DRIFT_COLUMNS = ["price", "product_id", "hour", "target"]
+    DRIFT_CATEGORIES = ["event_type", "brand", "category_id"]
+
+    @cached_property
+    def mixed_events(self) -> DataFrame:
+        """Numeric and categorical columns watched for drift."""
+        return self.shop_events.select(
+            "event_time",
+            "price",
+            F.col("product_id").cast("double").alias("product_id"),
+            F.hour("event_time").cast("double").alias("hour"),
+            X.purchase_label().cast("double").alias("target"),
+            *self.DRIFT_CATEGORIES,
+        )
+
+    @cached_property
+    def mixed_reference(self) -> DataFrame:
+        return self.mixed_events.where(F.col("event_time") < F.lit(SPLIT_DATE).cast("timestamp"))
+
+    @cached_property
+    def mixed_current(self) -> DataFrame:
+        return self.mixed_events.where(F.col("event_time") >= F.lit(SPLIT_DATE).cast("timestamp"))
 
     @cached_property
     def line_reference(self) -> DataFrame:
