@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators import alerts, decisions, drift, joins, metrics, sampling
+from ..operators import alerts, categories, decisions, drift, joins, metrics, sampling
 from .registry import query
 from .views_sql import id_bucket_sql, quote
 
@@ -81,13 +81,37 @@ def drift_detail(t):
     return drift.drift_detail(t.reference, t.current, t.DRIFT_COLUMNS)
 
 
+@query(
+    "categorical_drift",
+    """SELECT "column", categories, new_categories, vanished_categories, round(js_distance, 6) AS js_distance,
+              round(chi_square, 6) AS chi_square, degrees, round(p_value, 6) AS p_value,
+              round(reference_rate, 6) AS reference_rate, round(current_rate, 6) AS current_rate, drifted FROM category_drift""",
+)
+def categorical_drift(t):
+    return categories.categorical_drift(t.mixed_reference, t.mixed_current, t.DRIFT_CATEGORIES)
+
+
+@query(
+    "category_changes",
+    """SELECT "column", category, round(p, 6) AS reference_share, round(q, 6) AS current_share, round(q - p, 6) AS difference,
+              round(divergence, 6) AS divergence, CASE WHEN r = 0 THEN 'new' WHEN c = 0 THEN 'vanished' ELSE 'kept' END AS status
+       FROM category_parts""",
+)
+def category_changes(t):
+    return categories.category_changes(categories.side_counts(t.mixed_reference, t.mixed_current, t.DRIFT_CATEGORIES))
+
+
+def _summary(t):
+    return drift.drift_summary(t.mixed_reference, t.mixed_current, t.DRIFT_COLUMNS, categorical=t.DRIFT_CATEGORIES)
+
+
 @query(
     "drift_summary",
     """SELECT round(drift_score, 6) AS drift_score, drifted_columns, total_columns, round(max_missing_rate, 6) AS max_missing_rate,
-              range_violations, dataset_drift FROM drift_summary""",
+              range_violations, new_categories, dataset_drift FROM drift_summary""",
 )
 def drift_summary(t):
-    return drift.drift_summary(t.reference, t.current, t.DRIFT_COLUMNS)
+    return _summary(t)
 
 
 QUALITY = ["price", "product_id", "hour"]
@@ -137,7 +161,7 @@ def _alert_sql(level: str, kind: str, message: str, metric: str, value: str, lim
     ),
 )
 def data_alerts(t):
-    return alerts.data_alerts(drift.drift_summary(t.reference, t.current, t.DRIFT_COLUMNS))
+    return alerts.data_alerts(_summary(t))
 
 
 @query(
@@ -508,10 +532,9 @@ def random_split_80(t):
 @query(
     "stratified_split",
     f"""
-    WITH b AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS target, {id_bucket_sql('event_id', 256)} AS g,
-                      {id_bucket_sql('event_id', 2**19, 43)} AS o FROM event_log)
-    SELECT event_id, target, CASE WHEN row_number() OVER (PARTITION BY target, g ORDER BY o, event_id)
-             <= round(count(*) OVER (PARTITION BY target, g) * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM b
+    WITH b AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS target, {id_bucket_sql('event_id', 2**31)} AS h FROM event_log)
+    SELECT event_id, target, CASE WHEN row_number() OVER (PARTITION BY target ORDER BY h, event_id)
+             <= round(count(*) OVER (PARTITION BY target) * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM b
     """,
 )
 def stratified_split(t):

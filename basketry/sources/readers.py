@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import id_bucket
+from ..operators.selection import take_share
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,11 @@ def stable_sample(df: DataFrame, fraction: float = 0.05, id_col: str = "event_id
     return df.where(id_bucket(id_col, 10_000) < int(fraction * 10_000))
 
 
+def exact_sample(df: DataFrame, fraction: float = 0.05, id_col: str = "event_id") -> DataFrame:
+    """floor(fraction x rows) rows, those with the smallest id hashes: two small counts, then a filter."""
+    return take_share(df, id_col, fraction)
+
+
 def incremental_read(
     spark: SparkSession,
     path: str,
