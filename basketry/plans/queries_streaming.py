@@ -7,20 +7,52 @@ from ..streaming import jobs
 from .registry import query
 
 
-@query(
-    "stream_inference_metrics",
+REQUESTS_SQL = """
+    WITH r AS (SELECT event_id, event_time, 'a' AS model, value AS latency, event_type = 'error' AS e FROM all_events
+               UNION ALL SELECT event_id, event_time, 'b', value * 1.25::DOUBLE, event_type = 'error' FROM all_events)
     """
-    WITH r AS (SELECT event_time, 'a' AS model, value AS latency, event_type = 'error' AS e FROM all_events
-               UNION ALL SELECT event_time, 'b', value * 1.25::DOUBLE, event_type = 'error' FROM all_events)
+
+INFERENCE_SQL = (
+    REQUESTS_SQL
+    + """
     SELECT time_bucket(INTERVAL 5 MINUTE, event_time, TIMESTAMP '2024-01-01') AS window_start, model, count(*) AS requests, round(avg(latency), 6) AS latency_mean,
            round(stddev_pop(latency), 6) AS latency_std, round(quantile_disc(latency, 0.95), 6) AS latency_p95,
            round(count(*) / 300.0::DOUBLE, 6) AS requests_per_second, round(count(*) FILTER (e) / count(*)::DOUBLE, 6) AS error_rate
     FROM r GROUP BY 1, 2
-    """,
+    """
 )
+
+
+@query("stream_inference_metrics", INFERENCE_SQL)
 def stream_inference_metrics(t):
     stream = jobs.request_stream(jobs.event_stream(t.spark, t.sf_dir))
-    return jobs.current_inference(jobs.collect_parts(stream, jobs.inference_parts, "inference"))
+    return jobs.current_inference(
+        jobs.merged_parts(stream, jobs.inference_parts, jobs.merge_inference, "inference")
+    )
+
+
+# Sketches are exact up to 4,096 requests in five minutes, which these tables stay far below.
+@query("stream_inference_sketch", INFERENCE_SQL)
+def stream_inference_sketch(t):
+    stream = jobs.request_stream(jobs.event_stream(t.spark, t.sf_dir))
+    return jobs.sketched_inference(jobs.merged_parts(stream, jobs.sketch_parts, jobs.merge_sketches, "sketches"))
+
+
+@query(
+    "stream_last_requests",
+    REQUESTS_SQL
+    + """
+    SELECT model, count(*) AS total_requests, round(quantile_cont(latency, 0.5), 6) AS latency_p50, round(quantile_cont(latency, 0.95), 6) AS latency_p95,
+           round(quantile_cont(latency, 0.99), 6) AS latency_p99, round(avg(latency), 6) AS latency_mean, round(stddev_pop(latency), 6) AS latency_std,
+           round(min(latency), 6) AS latency_min, round(max(latency), 6) AS latency_max,
+           round(coalesce(count(*) / nullif((epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6::DOUBLE, 0), 0), 6) AS requests_per_second,
+           round(count(*) FILTER (e) / 1000.0::DOUBLE, 6) AS error_rate
+    FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY model ORDER BY event_time DESC, event_id DESC) <= 1000) GROUP BY model
+    """,
+)
+def stream_last_requests(t):
+    """The last 1,000 requests of each model."""
+    return jobs.last_requests(jobs.request_stream(jobs.event_stream(t.spark, t.sf_dir)))
 
 
 @query(

@@ -1,9 +1,10 @@
 """Structured Streaming jobs over the event log.
 
 Jobs whose result must hold every event are built from additive parts: each
-micro-batch writes its own counts into the shared folder, a repeated batch
-replaces its own part, and the current result is an aggregate of the parts.  It
-does not depend on the order or the lateness of events, and no state is kept.
+micro-batch writes its own counts into the shared folder, where they are merged
+level by level (``parts.Parts``), and the current result is an aggregate of what
+is left.  It does not depend on the order or the lateness of events, a repeated
+batch changes nothing, and no state is kept in executors.
 
 Jobs that must emit while the stream runs (closed windows, pairs of scores) keep
 state and take the allowed lateness as an argument; ``collect_batches`` raises if
@@ -23,6 +24,7 @@ from ..operators import alerts, decisions, drift
 from ..operators.features import count_type
 from ..session import new_path
 from ..sources.readers import incremental_read
+from .parts import Parts
 
 LATENESS = "10 minutes"
 WINDOW = "5 minutes"
@@ -55,12 +57,16 @@ def run_batches(
     name: str,
     mode: str = "append",
     interval: str | None = None,
+    checkpoint: str | None = None,
 ):
-    """Start ``write`` per micro-batch.  Without an interval: process what is there and stop."""
+    """Start ``write`` per micro-batch.  Without an interval: process what is there and stop.
+
+    With a ``checkpoint`` of an earlier run the stream goes on where that run ended.
+    """
     writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(write)
-        .option("checkpointLocation", new_path(stream.sparkSession, f"{name}-checkpoint"))
+        .option("checkpointLocation", checkpoint or new_path(stream.sparkSession, f"{name}-checkpoint"))
     )
     if interval:
         return writer.trigger(processingTime=interval).start()
@@ -156,6 +162,28 @@ def collect_parts(stream: DataFrame, part: Callable[[DataFrame], DataFrame], nam
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
+def merged_parts(
+    stream: DataFrame,
+    part: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    name: str,
+    folder: str | None = None,
+    fanout: int = 8,
+) -> DataFrame:
+    """Run to completion; the merged parts of every micro-batch so far.
+
+    ``part`` reduces a batch, ``merge`` the rows of several parts to those of one.
+    With a ``folder`` a later call goes on after the files that are already in it,
+    also when a run was broken off between any two steps.
+    """
+    spark = stream.sparkSession
+    folder = folder or new_path(spark, name)
+    schema = part(spark.createDataFrame([], stream.schema)).schema
+    parts = Parts(spark, f"{folder}/parts", schema, merge, fanout)
+    run_batches(stream, lambda batch, number: parts.add(part(batch), number), name, checkpoint=f"{folder}/checkpoint")
+    return parts.current()
+
+
 # --- jobs ---------------------------------------------------------------------------
 
 def inference_parts(requests: DataFrame) -> DataFrame:
@@ -165,6 +193,88 @@ def inference_parts(requests: DataFrame) -> DataFrame:
     )
 
 
+def merge_inference(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "model", "latency").agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
+
+
+SKETCH_SIZE = 4096
+
+
+def sketch_parts(requests: DataFrame) -> DataFrame:
+    """One row per window and model, with a quantile sketch of the latencies: bounded, however many requests.
+
+    A sketch holds a window of up to ``SKETCH_SIZE`` latencies exactly and a larger
+    one in at most about three times as many values; the rank of its quantiles is
+    then off by less than 0.3 % of the window.
+    """
+    known = F.col("latency").cast("double")
+    return requests.groupBy(F.window("event_time", WINDOW)["start"].alias("window_start"), "model").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(known).alias("known"),
+        F.sum(known).alias("total"),
+        F.sum(known * known).alias("squares"),
+        F.count_if(F.col("is_error") == 1).alias("errors"),
+        F.kll_sketch_agg_double(known, SKETCH_SIZE).alias("sketch"),
+    )
+
+
+def merge_sketches(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "model").agg(
+        *[F.sum(c).alias(c) for c in ("n", "known", "total", "squares", "errors")],
+        F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch"),
+    )
+
+
+def sketched_inference(merged: DataFrame) -> DataFrame:
+    """The figures of ``current_inference`` from merged sketches; a window without any latency has null ones."""
+    mean = F.try_divide(F.col("total"), F.col("known"))
+    variance = F.greatest(F.col("squares") / F.col("known") - mean * mean, F.lit(0.0))
+    return merged.select(
+        "window_start",
+        "model",
+        F.col("n").alias("requests"),
+        mean.alias("latency_mean"),
+        F.when(F.col("known") > 0, F.sqrt(variance)).alias("latency_std"),
+        F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.95))).alias("latency_p95"),
+        (F.col("n") / 300.0).alias("requests_per_second"),
+        (F.col("errors") / F.col("n")).alias("error_rate"),
+    )
+
+
+def newest_requests(requests: DataFrame, n: int = 1000) -> DataFrame:
+    """The newest ``n`` requests of every model, ties to the larger id; merging it again changes nothing.
+
+    The rows are cut inside each task before the shuffle, so that a model with most
+    of the requests sends ``n`` rows from each task.
+    """
+    newest = Window.partitionBy("model").orderBy(F.desc("event_time"), F.desc("request_id"))
+    return requests.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= n).drop("_place")
+
+
+def last_requests(stream: DataFrame, n: int = 1000, name: str = "newest", folder: str | None = None) -> DataFrame:
+    """Figures of the last ``n`` requests of each model; what is kept is bounded by n, models and levels."""
+    cut = lambda df: newest_requests(df, n)
+    return window_metrics(merged_parts(stream, cut, cut, name, folder), n)
+
+
+def window_metrics(kept: DataFrame, n: int) -> DataFrame:
+    """Latency, throughput and errors of a window of ``n`` requests (errors per capacity, as a full window has)."""
+    seconds = (F.unix_micros(F.max("event_time")) - F.unix_micros(F.min("event_time"))) / 1e6
+    quantile = lambda q: F.percentile("latency", F.lit(q))
+    return kept.groupBy("model").agg(
+        F.count(F.lit(1)).alias("total_requests"),
+        quantile(0.5).alias("latency_p50"),
+        quantile(0.95).alias("latency_p95"),
+        quantile(0.99).alias("latency_p99"),
+        F.avg("latency").alias("latency_mean"),
+        F.stddev_pop("latency").alias("latency_std"),
+        F.min("latency").alias("latency_min"),
+        F.max("latency").alias("latency_max"),
+        F.coalesce(F.when(seconds > 0, F.count(F.lit(1)) / seconds), F.lit(0.0)).alias("requests_per_second"),
+        (F.count_if(F.col("is_error") == 1) / F.lit(float(n))).alias("error_rate"),
+    )
+
+
 def current_inference(parts: DataFrame) -> DataFrame:
     """Latency, throughput and error share per model and five-minute window, from all parts so far."""
     keys = ["window_start", "model"]
@@ -222,13 +332,14 @@ def request_stream(events: DataFrame) -> DataFrame:
         F.struct(F.lit("b").alias("model"), (F.col("value") * 1.25).alias("latency")),
     )
     return events.select(
+        F.col("event_id").alias("request_id"),
         "event_time",
         F.when(F.col("event_type") == "error", 1).otherwise(0).alias("is_error"),
         F.inline(cells),
     )
 
 
-def user_activity(stream: DataFrame, threshold: int = 3, name: str = "activity") -> DataFrame:
+def user_activity(stream: DataFrame, threshold: int = 3, name: str = "activity", folder: str | None = None) -> DataFrame:
     """Event count and last activity per user, with the cold flag; no state is kept between batches."""
 
     def part(batch: DataFrame) -> DataFrame:
@@ -236,11 +347,13 @@ def user_activity(stream: DataFrame, threshold: int = 3, name: str = "activity")
             F.count(F.lit(1)).alias("event_count"), F.max("event_time").alias("last_seen")
         )
 
-    parts = collect_parts(stream, part, name)
-    return (
-        parts.groupBy("user_id")
-        .agg(F.sum("event_count").alias("event_count"), F.max("last_seen").alias("last_seen"))
-        .withColumn("is_cold", F.when(F.col("event_count") < threshold, 1).otherwise(0))
+    def merge(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("user_id").agg(
+            F.sum("event_count").alias("event_count"), F.max("last_seen").alias("last_seen")
+        )
+
+    return merged_parts(stream, part, merge, name, folder).withColumn(
+        "is_cold", F.when(F.col("event_count") < threshold, 1).otherwise(0)
     )
 
 
@@ -298,8 +411,10 @@ def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], n
     def part(batch: DataFrame) -> DataFrame:
         return drift.value_counts_by(batch.withColumn("day", F.to_date("event_time")), columns, ["day"])
 
-    parts = collect_parts(stream, part, name)
-    current = parts.groupBy("day", "column", "value").agg(F.sum("n").alias("n"))
+    def merge(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("day", "column", "value").agg(F.sum("n").alias("n"))
+
+    current = merged_parts(stream, part, merge, name)
     return drift.daily_summary(drift.value_counts_by(reference, columns, []), current, len(columns))
 
 
@@ -308,8 +423,8 @@ def drift_alerts(daily: DataFrame) -> DataFrame:
     return alerts.data_alerts(daily)
 
 
-def feature_update(stream: DataFrame, name: str = "features") -> DataFrame:
-    """Keep per-user counts current: one additive part per micro-batch."""
+def feature_update(stream: DataFrame, name: str = "features", folder: str | None = None) -> DataFrame:
+    """Keep per-user counts current: one additive part per micro-batch, merged by level."""
 
     def part(batch: DataFrame) -> DataFrame:
         return batch.groupBy("user_id").agg(
@@ -320,7 +435,7 @@ def feature_update(stream: DataFrame, name: str = "features") -> DataFrame:
             F.max("event_time").alias("event_timestamp"),
         )
 
-    return current_features(collect_parts(stream, part, name))
+    return merged_parts(stream, part, current_features, name, folder)
 
 
 def current_features(parts: DataFrame) -> DataFrame:
