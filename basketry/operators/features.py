@@ -294,18 +294,41 @@ def lagged_demand_dates(dated: DataFrame, target_days: int = 1) -> DataFrame:
     ).where(F.col("history_start").isNotNull())
 
 
+def _calendar(dated: DataFrame) -> DataFrame:
+    """(event_date, place, target, last) of every day with events, in the order of the days.
+
+    The i-th day with purchases (from 0) has place 2 i and is target i; days
+    between it and the next one have place 2 i + 1.  The window of target i over
+    the last ``t`` purchase days is then the places 2 (i - t) to 2 (i - 1).
+    ``last`` is the number of the last target.  One row per calendar day.
+    """
+    bought = F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0))
+    days = dated.where(F.col("event_date").isNotNull()).groupBy("event_date").agg(bought.alias("bought"))
+    all_days = Window.partitionBy(F.lit(0))
+    target = F.sum("bought").over(all_days.orderBy("event_date")) - 1
+    return days.select(
+        "event_date",
+        (2 * target + 1 - F.col("bought")).cast("int").alias("place"),
+        F.when(F.col("bought") == 1, target.cast("int")).alias("target"),
+        (F.sum("bought").over(all_days) - 1).cast("int").alias("last"),
+    )
+
+
 def trailing_product_features(dated: DataFrame, target_days: int = 1) -> DataFrame:
     """Product statistics over the history window of every target date.
 
-    Events are first reduced to one row per product and day, and to the distinct
-    users and sessions of a product and day.  These meet the (event_date,
-    target_date) pairs, days x ``target_days`` rows that are broadcast, by an
-    equality join; no event is multiplied.
+    Events are reduced to one row per product and day before they are dealt to
+    their products, and the windows slide over those rows in their tasks.  A user
+    counts for the targets that the user's days cover: runs of covered targets
+    enter the sum where they begin and leave it where they end.  What is shuffled
+    therefore does not depend on the number of days in a window.
     """
-    pairs = lagged_demand_dates(dated, target_days).select(
-        "target_date", F.explode(F.sequence("history_start", "history_end")).alias("event_date")
-    )
-    keys = ["target_date", "product_id"]
+    calendar = materialize(_calendar(dated), "calendar")
+    placed = F.broadcast(calendar.select("event_date", "place", "last"))
+    # Targets whose window holds a place.
+    first = lambda place: F.greatest(F.floor((place + 3) / 2).cast("int"), F.lit(target_days))
+    final = lambda place, last: F.least(F.floor(place / 2).cast("int") + target_days, last)
+
     daily = dated.groupBy("product_id", "event_date").agg(
         F.count(F.lit(1)).alias("events"),
         count_type("view").alias("views"),
@@ -314,33 +337,89 @@ def trailing_product_features(dated: DataFrame, target_days: int = 1) -> DataFra
         F.avg("price").alias("mean"),
         F.var_pop("price").alias("variance"),
     )
-    mean = F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n"))
-    square = F.sum(F.col("n") * (F.col("variance") + F.col("mean") * F.col("mean")))
-    spread = F.try_divide(square - F.sum("n") * mean * mean, F.sum("n") - 1)
-    totals = (
-        daily.join(F.broadcast(pairs), "event_date")
-        .groupBy(*keys)
-        .agg(
-            F.sum("events").alias("total_events"),
-            F.sum("views").alias("views"),
-            F.sum("carts").alias("cart_adds"),
-            mean.alias("avg_price"),
-            F.when(F.sum("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("price_std"),
-        )
+    measures = {
+        "events": F.col("events"),
+        "views": F.col("views"),
+        "carts": F.col("carts"),
+        "n": F.col("n"),
+        "total": F.col("n") * F.col("mean"),
+        "squares": F.col("n") * (F.col("variance") + F.col("mean") * F.col("mean")),
+    }
+    zero = F.lit(0).cast("long")
+    rows = daily.join(placed, "event_date").select(
+        "product_id", "place", F.lit(True).alias("is_day"), *[m.alias(name) for name, m in measures.items()],
+        zero.alias("users"), zero.alias("sessions"),
     )
 
-    def distinct_of(column: str, name: str) -> DataFrame:
-        known = dated.where(F.col(column).isNotNull()).select("product_id", "event_date", column).distinct()
-        in_window = known.join(F.broadcast(pairs), "event_date").select(*keys, column).distinct()
-        return in_window.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-    return (
-        totals.join(distinct_of("user_id", "unique_users"), keys, "left")
-        .join(distinct_of("user_session", "unique_sessions"), keys, "left")
-        .na.fill(0, ["unique_users", "unique_sessions"])
-        .select(
-            *keys, "total_events", "views", "cart_adds", "unique_users", "avg_price", "price_std", "unique_sessions"
+    def changes(column: str, name: str) -> DataFrame:
+        """Where the number of distinct values of a product goes up and down."""
+        known = dated.where(F.col(column).isNotNull()).join(placed, "event_date")
+        places = F.array_sort(F.collect_set("place"))
+        visits = known.groupBy("product_id", column).agg(places.alias("places"), F.max("last").alias("last"))
+        last = F.col("last")
+
+        def run(place: Column, i: Column) -> Column:
+            before = F.when(i > 0, final(F.get("places", i - 1), last) + 1).otherwise(0)
+            return F.struct(F.greatest(first(place), before).alias("start"), final(place, last).alias("end"))
+
+        runs = F.filter(F.transform("places", run), lambda r: r["start"] <= r["end"])
+        ends = F.flatten(
+            F.transform(
+                runs,
+                lambda r: F.array(
+                    F.struct((2 * r["start"]).alias("place"), F.lit(1).cast("long").alias(name)),
+                    F.struct((2 * r["end"] + 2).alias("place"), F.lit(-1).cast("long").alias(name)),
+                ),
+            )
         )
+        # At most two rows per product and place leave a task.
+        return visits.select("product_id", F.inline(ends)).groupBy("product_id", "place").agg(F.sum(name).alias(name))
+
+    for column, name in (("user_id", "users"), ("user_session", "sessions")):
+        rows = rows.unionByName(changes(column, name).withColumn("is_day", F.lit(False)), allowMissingColumns=True)
+    sums = [F.sum(m).alias(m) for m in (*measures, "users", "sessions")]
+    by_place = rows.groupBy("product_id", "place").agg(F.max("is_day").alias("is_day"), *sums)
+
+    # Each day asks for the targets that no earlier day of the product has asked for.
+    own = Window.partitionBy("product_id").orderBy("place")
+    last_target = calendar.agg(F.max("last")).scalar()
+    earlier = F.max(F.when(F.col("is_day"), F.col("place"))).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    asked_for = F.when(F.col("_earlier").isNotNull(), final(F.col("_earlier"), F.col("_last"))).otherwise(-1)
+    start = F.greatest(first(F.col("place")), asked_for + 1)
+    asked = by_place.withColumns({"_earlier": earlier, "_last": last_target}).withColumns(
+        {"_start": start, "_end": final(F.col("place"), F.col("_last"))}
+    )
+    figures = [*measures, "users", "sessions"]
+    of_day = F.struct(F.col("place").alias("at"), F.lit(None).cast("int").alias("target"), *figures)
+    nothing = [F.lit(None).cast(by_place.schema[c].dataType).alias(c) for c in figures]
+    question = lambda i: F.struct((2 * i).alias("at"), i.alias("target"), *nothing)
+    targets = F.when(F.col("is_day") & (F.col("_start") <= F.col("_end")), F.sequence("_start", "_end")).otherwise(
+        F.array().cast("array<int>")
+    )
+    walked = asked.select("product_id", F.inline(F.concat(F.array(of_day), F.transform(targets, question))))
+
+    by_order = Window.partitionBy("product_id").orderBy("at")
+    trailing = by_order.rangeBetween(-2 * target_days, -2)
+    upto = by_order.rangeBetween(Window.unboundedPreceding, 0)
+    totals = walked.select(
+        "product_id",
+        "target",
+        *[F.sum(m).over(trailing).alias(m) for m in measures],
+        *[F.coalesce(F.sum(m).over(upto), F.lit(0)).alias(m) for m in ("users", "sessions")],
+    ).where(F.col("target").isNotNull())
+    mean = F.try_divide(F.col("total"), F.col("n"))
+    spread = F.try_divide(F.col("squares") - F.col("n") * mean * mean, F.col("n") - 1)
+    dates = calendar.where(F.col("target").isNotNull()).select("target", F.col("event_date").alias("target_date"))
+    return totals.join(F.broadcast(dates), "target").select(
+        "target_date",
+        "product_id",
+        F.col("events").alias("total_events"),
+        "views",
+        F.col("carts").alias("cart_adds"),
+        F.col("users").alias("unique_users"),
+        mean.alias("avg_price"),
+        F.when(F.col("n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("price_std"),
+        F.col("sessions").alias("unique_sessions"),
     )
 
 

@@ -206,21 +206,28 @@ def trailing_product_features(t):
     return features.trailing_product_features(t.dated_events)
 
 
-@query(
-    "trailing_product_features_3d",
-    """
-    WITH d AS (SELECT event_date AS target_date, lag(event_date, 3) OVER (ORDER BY event_date) AS hs,
+def _trailing_sql(days: int) -> str:
+    return f"""
+    WITH d AS (SELECT event_date AS target_date, lag(event_date, {days}) OVER (ORDER BY event_date) AS hs,
                       lag(event_date, 1) OVER (ORDER BY event_date) AS he FROM (SELECT DISTINCT event_date FROM daily_demand))
     SELECT target_date, product_id, count(*) AS total_events, count(*) FILTER (event_type = 'view') AS views,
            count(*) FILTER (event_type = 'cart') AS cart_adds, count(DISTINCT user_id) AS unique_users,
            round(avg(price), 6) AS avg_price, round(stddev_samp(price), 6) AS price_std, count(DISTINCT user_session) AS unique_sessions
     FROM dated JOIN d ON event_date BETWEEN hs AND he GROUP BY target_date, product_id
-    """,
-)
+    """
+
+
+@query("trailing_product_features_3d", _trailing_sql(3))
 def trailing_product_features_3d(t):
     return features.trailing_product_features(t.dated_events, target_days=3)
 
 
+@query("trailing_product_features_28d", _trailing_sql(28))
+def trailing_product_features_28d(t):
+    """A window of four weeks of days with purchases."""
+    return features.trailing_product_features(t.dated_events, target_days=28)
+
+
 @query("demand_dataset", f"SELECT {DEMAND_COLUMNS} FROM demand_set")
 def demand_dataset(t):
     return t.demand_set
