@@ -1,16 +1,19 @@
 """Exact top-k by inner product with a KD-tree per shard.
 
-Vectors become integers, floor(scale * x).  Rows are dealt to shards of a few
-hundred by row number.  A shard's tree splits at the median of the dimension
-with the widest box until a leaf is small or all its points are equal; every
-node keeps the tight bounding box of its points.  The trees are written once.
-
-Queries come in blocks of bounded size, which alone are broadcast.  For a query
-the box bound sum(max(q * low, q * high)) is the largest inner product a node
-can hold.  Nodes are visited best first and the search of a shard ends at the
-first node whose bound is below the k-th score; that score goes on to the next
-shard of the task.  Equal scores are decided by the smaller id, so a node whose
-bound equals the k-th score is still visited.
+Vectors become integers, floor(scale * x).  Median splits of a bounded sample cut
+the space into cells, and the rows of a cell are dealt to shards by row number, so
+that a cell of very many equal vectors is many shards.  A shard's tree splits at the
+median of the dimension with the widest box until a leaf is small or all its points
+are equal; every node keeps the tight bounding box of its points.  The trees are
+written once, and so are the queries, in blocks.  Groups of shards meet blocks of
+queries in tasks; neither goes through the driver.
+
+For a query the box bound sum(max(q * low, q * high)) is the largest inner product a
+node can hold.  The shards of a task are visited by the bounds of their roots, a
+shard's leaves best first for each query; a query is done with a shard at the first
+bound below its k-th score, which goes on to the next shard.  Queries that open the
+same leaf at the same turn share one matrix product.  Equal scores are decided by the
+smaller id, so a node whose bound equals the k-th score is still visited.
 
 Defined results: vectors that are null, empty or hold a null or a number that is
 not finite take no part, nor do rows without an id; vectors of different length
@@ -23,7 +26,6 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,9 +40,13 @@ from .support import clash_free, prepare, written
 class Settings:
     k: int = 10
     scale: int = 1024
-    shard_rows: int = 640
-    leaf: int = 32
-    block: int = 4096
+    shard_rows: int = 2048
+    leaf: int = 64
+    group_bytes: int = 8 << 20  # points of the shards that one task holds
+    block: int = 8192  # queries at most
+    least_block: int = 128
+    sample_rows: int = 4096  # vectors that the cells are cut by
+    most_cells: int = 256
 
 
 class Tree:
@@ -72,38 +78,75 @@ class Tree:
         self.low, self.high = (np.array([n[i] for n in nodes], points.dtype) for i in (0, 1))
         self.links = np.array([n[2:] for n in nodes], np.int64)
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Largest inner product with a point of each node: queries x nodes."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+    def bounds(self, queries: np.ndarray, nodes=slice(None)) -> np.ndarray:
+        """Largest inner product with a point of each of the nodes: queries x nodes."""
+        return np.maximum(queries, 0) @ self.high[nodes].T + np.minimum(queries, 0) @ self.low[nodes].T
 
 
-def search(tree, query: np.ndarray, own_id: int, bounds: np.ndarray, best: list, k: int) -> None:
-    """Put the shard's better points into ``best``, a heap of (score, -id) with at most k entries."""
-    queue = [(-bounds[0], 0)]
-    while queue:
-        bound, node = heapq.heappop(queue)
-        if len(best) == k and -bound < best[0][0]:
-            return
-        start, end, left, right = tree.links[node]
-        if left >= 0:
-            for child in (left, right):
-                if len(best) < k or bounds[child] >= best[0][0]:
-                    heapq.heappush(queue, (-bounds[child], child))
-            continue
-        scores = tree.points[start:end] @ query
+class Block:
+    """Queries of one length with the best candidates found so far."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, largest: int, k: int):
+        self.ids, self.k = ids, k
+        self.kind = exact_kind(queries.shape[1], largest)
+        self.queries = queries.astype(self.kind)
+        lowest = -queries.shape[1] * max(1, largest) ** 2 - 1  # below every score
+        self.floor = np.full(len(ids), lowest, self.kind)  # score of the k-th best
+        self.last = np.full(len(ids), np.iinfo(np.int64).max)  # and its id
+        self.heaps: list[list[tuple[int, int]]] = [[] for _ in ids]
+
+    def take(self, rows: np.ndarray, tree: Opened, start: int, end: int) -> None:
+        """Put the better points of a leaf into the heaps of (score, -id)."""
+        scores = self.queries[rows] @ tree.points[start:end].T
         ids = tree.ids[start:end]
-        hits = np.flatnonzero(scores >= best[0][0]) if len(best) == k else np.arange(end - start)
-        if len(hits) > 2 * k + 1:  # only the first of them, by score and id, can stay
-            order = np.lexsort((ids[hits], -scores[hits]))
-            hits = hits[[i for i in order if ids[hits[i]] != own_id][:k]]
-        for i in hits:
-            if ids[i] == own_id:
-                continue
-            entry = (int(scores[i]), -int(ids[i]))
-            if len(best) < k:
-                heapq.heappush(best, entry)
-            elif entry > best[0]:
-                heapq.heapreplace(best, entry)
+        floor = self.floor[rows, None]
+        better = (scores > floor) | ((scores == floor) & (ids[None, :] < self.last[rows, None]))
+        better &= ids[None, :] != self.ids[rows, None]
+        hits, places = np.nonzero(better.astype(bool))
+        if not len(hits):
+            return
+        order = np.lexsort((ids[places], -scores[hits, places], hits))
+        hits, places = hits[order], places[order]
+        # Of one leaf only the first k of a query can stay.
+        begin = np.searchsorted(hits, hits, side="left")
+        first = np.arange(len(hits)) - begin < self.k
+        hits, places = hits[first], places[first]
+        for i, score, found in zip(rows[hits].tolist(), scores[hits, places].tolist(), ids[places].tolist()):
+            heap, entry = self.heaps[i], (int(score), -found)
+            if len(heap) < self.k:
+                heapq.heappush(heap, entry)
+            elif entry > heap[0]:
+                heapq.heapreplace(heap, entry)
+        for i in np.unique(rows[hits]).tolist():
+            if len(self.heaps[i]) == self.k:
+                self.floor[i], self.last[i] = self.heaps[i][0][0], -self.heaps[i][0][1]
+
+
+def search(tree: Opened, block: Block, rows: np.ndarray) -> None:
+    """Each of the queries opens the leaves best first, until a bound is below its k-th score."""
+    rows = rows[(tree.bounds(block.queries[rows], slice(0, 1))[:, 0] >= block.floor[rows]).astype(bool)]
+    if not len(rows):
+        return
+    leaves = np.flatnonzero(tree.links[:, 2] < 0)
+    bounds = tree.bounds(block.queries[rows], leaves)
+    order = np.argsort(-bounds, axis=1, kind="stable")
+    open_ = np.arange(len(rows))
+    for turn in range(len(leaves)):
+        leaf = order[open_, turn]
+        on = (bounds[open_, leaf] >= block.floor[rows[open_]]).astype(bool)
+        open_, leaf = open_[on], leaf[on]
+        for one in np.unique(leaf):
+            start, end = tree.links[leaves[one], :2]
+            block.take(rows[open_[leaf == one]], tree, start, end)
+
+
+def answer(trees: list[Opened], block: Block) -> None:
+    """The best of a task's shards for each query, the shards with the largest bounds first."""
+    for start in range(0, len(block.ids), 512):
+        rows = np.arange(start, min(start + 512, len(block.ids)))
+        promise = [tree.bounds(block.queries[rows], slice(0, 1)).mean() for tree in trees]
+        for i in sorted(range(len(trees)), key=lambda i: (-promise[i], i)):
+            search(trees[i], block, rows)
 
 
 def exact_kind(dimensions: int, largest: int) -> np.dtype:
@@ -125,21 +168,86 @@ def integer_vectors(table: DataFrame, scale: int) -> DataFrame:
     )
 
 
+class Cells:
+    """Median splits of a sample, the widest dimension first: at most ``most`` cells."""
+
+    def __init__(self, sample: np.ndarray, most: int):
+        self.nodes: list[tuple[int, int, int, int]] = []  # dimension, cut, left and right (below 0: a cell)
+        self.cells = 0
+
+        def split(own: np.ndarray, share: int) -> int:
+            wide = int(np.argmax(np.ptp(own, axis=0))) if len(own) else 0
+            cut = int(np.sort(own[:, wide])[len(own) // 2]) if len(own) else 0
+            left = own[:, wide] < cut if len(own) else None
+            if share < 2 or left is None or not left.any():
+                self.cells += 1
+                return -self.cells
+            node = len(self.nodes)
+            self.nodes.append((0, 0, 0, 0))
+            below, above = split(own[left], share // 2), split(own[~left], share - share // 2)
+            self.nodes[node] = (wide, cut, below, above)
+            return node
+
+        self.root = split(sample, most)
+
+    def place(self, points: np.ndarray) -> np.ndarray:
+        """The cell of each point, from 0."""
+        at = np.full(len(points), self.root)
+        table = np.array(self.nodes, np.int64).reshape(-1, 4)
+        while (inner := np.flatnonzero(at >= 0)).size:
+            wide, cut, below, above = table[at[inner]].T
+            at[inner] = np.where(points[inner, wide] < cut, below, above)
+        return -1 - at
+
+
+def in_cells(vectors: DataFrame, settings: Settings) -> DataFrame:
+    """Adds ``cell``, cut by a bounded sample; vectors of another length than the sample's are cell 0."""
+    size = F.size("v")
+    common = vectors.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
+    if common is None:
+        return vectors.withColumn("cell", F.lit(0).cast("long"))
+    drawn = vectors.where(size == common["size"]).orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample_rows)
+    sample = np.array([r["v"] for r in drawn.select("v").collect()], np.int64)
+    wanted = -(-common["n"] // settings.shard_rows)
+    cells, width = Cells(sample, min(settings.most_cells, wanted)), common["size"]
+
+    @F.pandas_udf("long")
+    def place(v: pd.Series) -> pd.Series:
+        out = np.zeros(len(v), np.int64)
+        own = np.flatnonzero(v.map(len).to_numpy() == width)
+        if len(own):
+            out[own] = cells.place(np.array(v.iloc[own].tolist(), np.int64))
+        return pd.Series(out)
+
+    return vectors.withColumn("cell", place("v"))
+
+
 def build_trees(vectors: DataFrame, settings: Settings) -> DataFrame:
-    """One row for each shard: its tree, ready for ``opened``."""
+    """One row for each shard: its tree, ready for ``Opened``; ``grp`` names the shards that meet in a task."""
+    numbers = written(in_cells(vectors, settings).withColumn("number", F.monotonically_increasing_id()), "cells")
+    total = numbers.agg(F.sum(8 * F.size("v"))).first()[0] or 0
+    groups = max(1, -(-total // settings.group_bytes))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         points = np.array(group["v"].tolist(), np.int64)
         tree = Tree(points, group["vec_id"].to_numpy(np.int64), settings.leaf)
         return pd.DataFrame([{
-            "size": points.shape[1], "ids": tree.ids.tobytes(), "points": tree.points.tobytes(),
-            "low": tree.low.tobytes(), "high": tree.high.tobytes(), "links": tree.links.tobytes(),
+            "grp": (int(group["number"].min()) * 2654435761 % (1 << 32) * groups) >> 32, "size": points.shape[1], "ids": tree.ids.tobytes(),
+            "points": tree.points.tobytes(), "low": tree.low.tobytes(), "high": tree.high.tobytes(),
+            "links": tree.links.tobytes(),
         }])
 
-    shards = max(1, -(-vectors.count() // settings.shard_rows))
-    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
-    schema = "size int, ids binary, points binary, low binary, high binary, links binary"
-    return vectors.withColumn("shard", shard).groupBy(F.size("v"), "shard").applyInPandas(build, schema)
+    size = F.size("v").alias("size")
+    sizes = written(numbers.groupBy(size, "cell").agg(F.count(F.lit(1)).alias("rows")), "cell-sizes")
+    shards = F.ceil(F.col("rows") / settings.shard_rows)
+    schema = "grp long, size int, ids binary, points binary, low binary, high binary, links binary"
+    return (
+        numbers.withColumn("size", size)
+        .join(sizes, ["size", "cell"])
+        .withColumn("shard", F.pmod(F.xxhash64("number"), shards))
+        .groupBy("size", "cell", "shard")
+        .applyInPandas(build, schema)
+    )
 
 
 class Opened:
@@ -155,47 +263,53 @@ class Opened:
     bounds = Tree.bounds
 
 
+def query_blocks(asked: DataFrame, blocks: int) -> DataFrame:
+    """One row for each block of queries of equal length."""
+
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        queries, ids = np.array(group["v"].tolist(), np.int64), group["vec_id"].to_numpy(np.int64)
+        row = {"block": int(group["block"].iloc[0]), "size": queries.shape[1]}
+        return pd.DataFrame([row | {"query_ids": ids.tobytes(), "queries": queries.tobytes()}])
+
+    block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")
+    schema = "block int, size int, query_ids binary, queries binary"
+    return asked.withColumn("block", block).groupBy(F.size("v"), "block").applyInPandas(gather, schema)
+
+
 def top_k(table: DataFrame, query: F.Column, settings: Settings = Settings()) -> DataFrame:
     """query_id, rank, vec_id, score for every row of ``table`` where ``query`` holds, against all rows."""
     spark = prepare(table.sparkSession)
     vectors = written(integer_vectors(table, settings.scale), "vectors")
     trees = written(build_trees(vectors, settings), "trees")
     asked = written(vectors.where(query).distinct(), "queries")
-    blocks = max(1, -(-asked.count() // settings.block))
+    groups = (trees.agg(F.max("grp")).first()[0] or 0) + 1
+    n = asked.count()
+    # Large blocks move the shards less often; there must be enough pairs for all cores.
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // groups)
+    blocks = max(1, -(-n // settings.block), min(wanted, -(-n // settings.least_block)))
+    queries = written(query_blocks(asked, blocks), "query-blocks")
     largest = vectors.agg(F.max(F.array_max(F.transform("v", lambda e: F.abs(e))))).first()[0] or 0
-    found = None
-    for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)) == block).collect()  # about one block
-        sent = spark.sparkContext.broadcast([(r["vec_id"], r["v"]) for r in rows])
-        part = trees.mapInPandas(_searcher(sent, largest, settings), "query long, query_id long, vec_id long, score long")
-        part = part.withColumn("block", F.lit(block))
-        found = part if found is None else found.unionByName(part)
-    order = Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
 
-def _searcher(sent, largest: int, settings: Settings):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        queries = sent.value
-        best: list[list] = [[] for _ in queries]  # goes on from shard to shard
-        by_size: dict[int, list[int]] = {}
-        for i, (_, v) in enumerate(queries):
-            by_size.setdefault(len(v), []).append(i)
-        for batch in batches:
-            for row in batch.itertuples():
-                own = by_size.get(row.size, [])
-                if not own:
-                    continue
-                kind = exact_kind(row.size, largest)
-                tree = Opened(row, kind)
-                for a in range(0, len(own), 512):
-                    part = own[a : a + 512]
-                    points = np.array([queries[i][1] for i in part], np.int64).astype(kind)
-                    for i, point, bounds in zip(part, points, tree.bounds(points)):
-                        search(tree, point, queries[i][0], bounds, best[i], settings.k)
+    def search_pair(key, shards: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         fit = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
-        rows = [(i, queries[i][0], -e[1], fit(e[0])) for i, entries in enumerate(best) for e in entries]
-        yield pd.DataFrame(rows, columns=["query", "query_id", "vec_id", "score"], dtype="int64")
-
-    return run
+        out = []
+        for q in block.itertuples():
+            kind = exact_kind(q.size, largest)
+            trees = [Opened(row, kind) for row in shards.itertuples() if row.size == q.size]
+            ids = np.frombuffer(q.query_ids, np.int64)
+            own = Block(ids, np.frombuffer(q.queries, np.int64).reshape(-1, q.size), largest, settings.k)
+            answer(trees, own)
+            for i, (own_id, heap) in enumerate(zip(ids.tolist(), own.heaps)):
+                out += [(int(q.size), int(key[1]), i, own_id, -e[1], fit(e[0])) for e in heap]
+        return pd.DataFrame(out, columns=["size", "block", "query", "query_id", "vec_id", "score"], dtype="int64")
+
+    to_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    to_group = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("grp")
+    pairs = groups * blocks
+    left = trees.select("*", to_block).repartition(pairs, "grp", "block").groupBy("grp", "block")
+    right = queries.select("*", to_group).repartition(pairs, "grp", "block").groupBy("grp", "block")
+    schema = "size long, block long, query long, query_id long, vec_id long, score long"
+    found = left.cogroup(right).applyInPandas(search_pair, schema)
+    order = Window.partitionBy("size", "block", "query").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

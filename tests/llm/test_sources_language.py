@@ -307,6 +307,30 @@ def test_top_k_matches_all_pairs(spark, seed):
     assert {tuple(r) for r in found if r["query_id"] != 430} == expected
 
 
+def test_top_k_over_cells_groups_and_a_common_vector(spark):
+    """A third of the rows is one vector: its cell is many shards, dealt to many groups."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(6, 5)) * 4
+    rows = [(i, [float(x) for x in np.round(centres[i % 6] + rng.normal(size=5), 2)]) for i in range(400)]
+    rows += [(1000 + i, [1.0, 0.5, -0.25, 2.0, 0.0]) for i in range(200)]
+    table = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    settings = kdtree.Settings(k=5, shard_rows=32, leaf=6, block=50, least_block=7, group_bytes=4000, sample_rows=120, most_cells=8)
+    trees = kdtree.build_trees(kdtree.integer_vectors(table, 1024), settings)
+    sizes = [len(r["ids"]) // 8 for r in trees.collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 64 and trees.select("grp").distinct().count() > 2
+    found = kdtree.top_k(table, F.col("vec_id") % 5 == 0, settings).collect()
+    assert {tuple(r) for r in found} == plain_top(rows, 5)
+
+
+def test_cells_follow_the_sample():
+    rng = np.random.default_rng(2)
+    sample = rng.integers(-100, 100, size=(500, 3))
+    cells = kdtree.Cells(sample, 16)
+    assert cells.cells == 16 and np.bincount(cells.place(sample)).min() > 15
+    assert kdtree.Cells(np.ones((50, 3), np.int64), 16).cells == 1
+    assert (kdtree.Cells(sample[:0], 4).place(sample) == 0).all()
+
+
 def test_top_k_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert kdtree.top_k(table, F.col("vec_id") % 100 == 0).count() == 0
