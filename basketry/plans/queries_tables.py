@@ -7,8 +7,8 @@ from ..functions.fixed_values import MODEL_FEATURES
 from ..operators import cleaning, features, metrics, profile, ranking
 from ..schemas import EVENTS, PRODUCT_STATS, USER_PRODUCT, USER_STATS, enforce_schema
 from ..session import new_path
-from ..sources import readers, sinks
-from ..streaming.jobs import collect_batches, event_stream
+from ..sources import quarantine, readers, sinks
+from ..streaming.jobs import collect_batches, csv_stream_apart, event_stream
 from .registry import query
 from .views_sql import id_bucket_sql
 
@@ -30,6 +30,57 @@ def scan_events(t):
     return enforce_schema(readers.read_csv(t.spark, path, EVENTS), EVENTS)
 
 
+def _damaged_lines(t):
+    """The event table as CSV lines of which one in ten is broken, in four ways."""
+    line = F.to_csv(
+        F.struct(*EVENTS.names), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    )
+    way = F.pmod("event_id", F.lit(40))
+    broken_price = F.struct(*[F.lit("abc").alias(c) if c == "price" else F.col(c) for c in EVENTS.names])
+    no_user = F.struct(*[F.lit(None).cast("long").alias(c) if c == "user_id" else F.col(c) for c in EVENTS.names])
+    path = new_path(t.spark, "damaged")
+    t.shop_events.select(
+        F.when(way == 0, F.substring_index(line, ",", 3))
+        .when(way == 1, F.to_csv(broken_price))
+        .when(way == 2, F.concat(line, F.lit(",more")))
+        .when(way == 3, F.to_csv(no_user))
+        .otherwise(line)
+    ).write.text(path)
+    return path
+
+
+QUARANTINE_SQL = """
+    SELECT 'good' AS side, event_type AS kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum, round(sum(price), 6) AS price_sum
+    FROM shop_events WHERE event_id % 40 > 3 GROUP BY event_type
+    UNION ALL
+    SELECT 'broken', CASE event_id % 40 WHEN 1 THEN 'price: not of type double' WHEN 3 THEN 'user_id: missing' ELSE 'wrong number of fields' END,
+           count(*), CAST(sum(event_id) AS BIGINT), NULL FROM shop_events WHERE event_id % 40 <= 3 GROUP BY 2
+    """
+
+
+def _both_sides(good, broken):
+    first = F.substring_index("line", ",", 1).cast("long")
+    rows = good.groupBy(F.lit("good").alias("side"), F.col("event_type").alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"), F.sum("price").alias("price_sum")
+    )
+    lines = broken.groupBy(F.lit("broken").alias("side"), F.col("reason").alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(first).alias("id_sum"), F.lit(None).cast("double").alias("price_sum")
+    )
+    return rows.unionByName(lines)
+
+
+@query("scan_quarantine", QUARANTINE_SQL)
+def scan_quarantine(t):
+    """CSV lines of which some are broken: both sides, counted."""
+    return _both_sides(*quarantine.read_csv_apart(t.spark, _damaged_lines(t), EVENTS, ["event_id", "user_id"], header=False))
+
+
+@query("stream_quarantine", QUARANTINE_SQL)
+def stream_quarantine(t):
+    """The same lines as a stream."""
+    return _both_sides(*csv_stream_apart(t.spark, _damaged_lines(t), EVENTS, ["event_id", "user_id"], header=False))
+
+
 @query("scan_limit", f"SELECT {LOG_COLUMNS} FROM event_log ORDER BY event_time, event_id LIMIT 1000")
 def scan_limit(t):
     return readers.first_rows(t.event_log, 1000)

@@ -17,11 +17,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
 ) -> DataFrame:
-    """CSV with a header and a declared schema (no inference pass over the file)."""
+    """CSV with a header and a declared schema (no inference pass over the file).
+
+    A broken line is an error; ``quarantine.read_csv_apart`` goes on and keeps it apart.
+    """
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(path)
     )
     return df.select(*columns) if columns else df

@@ -18,11 +18,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import alerts, decisions, drift
 from ..operators.features import count_type
 from ..session import new_path
+from ..sources import quarantine
 from ..sources.readers import incremental_read
 from .parts import Parts
 
@@ -162,6 +164,29 @@ def collect_parts(stream: DataFrame, part: Callable[[DataFrame], DataFrame], nam
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
+def csv_stream_apart(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    required: list[str] = (),
+    bytes_per_trigger: int = 1 << 30,
+    header: bool = True,
+    folder: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, broken lines) of CSV files read as a stream; a repeated batch replaces its own output."""
+    how = quarantine.csv_options(header)
+    raw = incremental_read(spark, path, quarantine.with_line(schema), "csv", bytes_per_trigger, how)
+    lines = quarantine.tagged(raw, schema, required, how)
+    folder = folder or new_path(spark, "csv-stream-apart")
+    run_batches(
+        lines,
+        lambda batch, number: quarantine.write_sides(batch, f"{folder}/data/batch={number}"),
+        "csv-apart",
+        checkpoint=f"{folder}/checkpoint",
+    )
+    return quarantine.read_sides(spark, f"{folder}/data", schema)
+
+
 def merged_parts(
     stream: DataFrame,
     part: Callable[[DataFrame], DataFrame],
