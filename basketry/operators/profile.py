@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from .categories import category_counts
 from .prefix import column_quantiles, quantiles, sequence_numbers, unpivot
 
 
@@ -20,10 +21,13 @@ def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False
     rows = F.count(F.lit(1)).alias("total_rows")
     if approximate:
         return df.agg(rows, *[F.approx_count_distinct(c).alias(f"unique_{c}") for c in columns])
-    # One two-step count per column, partly summed before each shuffle; together they would
-    # multiply every row by the number of columns.
-    counts = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar() for c in columns]
-    return df.agg(rows).select("total_rows", *[n.alias(f"unique_{c}") for n, c in zip(counts, columns)])
+    # One pass: each row gives a (column, value) pair per column, summed in its task before the one exchange.
+    pairs = category_counts(df, columns)
+    of = lambda c, value: F.coalesce(F.sum(F.when(F.col("column") == c, value)), F.lit(0).cast("long"))
+    known = F.when(F.col("category").isNotNull(), 1).otherwise(0).cast("long")
+    return pairs.agg(
+        of(columns[0], F.col("n")).alias("total_rows"), *[of(c, known).alias(f"unique_{c}") for c in columns]
+    )
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators import alerts, categories, drift
+from basketry.operators import alerts, categories, drift, profile
 
 
 def table(spark, **columns):
@@ -94,3 +94,11 @@ def test_summary_counts_both_kinds(spark):
     row = summary.first()
     assert (row["total_columns"], row["drifted_columns"], row["new_categories"], row["dataset_drift"]) == (2, 1, 1, 1)
     assert {a["type"] for a in alerts.data_alerts(summary).collect()} == {"COLUMN_DRIFT"}
+
+
+def test_distinct_counts_in_one_scan(spark, tables):
+    df = spark.createDataFrame([("a", 1), ("b", 1), (None, 2), ("a", None)], "x string, y long")
+    assert profile.distinct_counts(df, ["x", "y"]).first().asDict() == {"total_rows": 4, "unique_x": 2, "unique_y": 2}
+    assert profile.distinct_counts(df.limit(0), ["x", "y"]).first().asDict() == {"total_rows": 0, "unique_x": 0, "unique_y": 0}
+    plan = profile.distinct_counts(tables.shop_events, ["user_id", "brand"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # the events and the catalogue
