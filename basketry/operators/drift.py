@@ -238,31 +238,80 @@ def drift_summary(
     )
 
 
+RANK_BUCKETS = 1024
+
+
+def daily_ks(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """(day, column, ks_statistic): exact, from (column, value, n) and (day, column, value, n) without nulls.
+
+    Between two values of a day its own share stands still and the reference's only
+    grows, so the largest gap lies at a value of the day or just before one.  Every
+    distinct value therefore gets the reference's share up to it once, and days are
+    joined to that; no day meets the values of the reference.  A day's running
+    count is taken inside buckets of neighbouring values and shifted by what the
+    buckets before hold, so a day with very many values is many groups.  A day
+    without values, or a column without reference, has no row.
+    """
+    none = F.lit(0).cast("long")
+    values = (
+        reference.select("column", "value", F.col("n").alias("ref"))
+        .unionByName(current.select("column", "value", none.alias("ref")))
+        .groupBy("column", "value")
+        .agg(F.sum("ref").alias("ref"), F.lit(1).cast("long").alias("one"))
+    )
+    ranked = running_totals(values, ["ref", "one"])
+    below = F.try_divide(F.col("ref_before"), F.col("ref_total"))
+    upto = F.try_divide(F.col("ref_before") + F.col("ref"), F.col("ref_total"))
+    bucket = F.floor(F.col("one_before") * RANK_BUCKETS / F.col("one_total")).cast("int")
+    places = materialize(
+        ranked.select("column", "value", below.alias("below"), upto.alias("upto"), bucket.alias("bucket")), "ranks"
+    )
+    placed = materialize(current.select("day", "column", "value", "n").join(places, ["column", "value"]), "placed")
+
+    # At most ``RANK_BUCKETS`` rows per day and column.
+    own = Window.partitionBy("day", "column")
+    earlier = own.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("day", "column", "bucket").agg(F.sum("n").alias("rows")).select(
+        "day",
+        "column",
+        "bucket",
+        F.coalesce(F.sum("rows").over(earlier), none).alias("offset"),
+        F.sum("rows").over(own).alias("total"),
+    )
+    inside = Window.partitionBy("day", "column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counted = placed.withColumn("local", F.sum("n").over(inside)).join(offsets, ["day", "column", "bucket"])
+    through = F.col("offset") + F.col("local")
+    gap = F.greatest(
+        F.abs(F.col("upto") - through / F.col("total")),
+        F.abs(F.col("below") - (through - F.col("n")) / F.col("total")),
+    )
+    return counted.groupBy("day", "column").agg(F.max(gap).alias("ks_statistic")).where(F.col("ks_statistic").isNotNull())
+
+
 def daily_summary(
     reference: DataFrame,
     current: DataFrame,
     total_columns: int,
     psi_limit: float = V.PSI_LIMIT,
     ks_limit: float = V.KS_LIMIT,
-    fine: int = 100,
 ) -> DataFrame:
     """Drift of each day in ``current`` (day, column, value, n) from ``reference`` (column, value, n).
 
-    The reference is reduced once to its range, its missing share and its counts
-    in ``fine`` equal-width bins of that range; values beyond the range fall into
-    the outer bins.  PSI is taken over tenths of the range, KS at all bin edges.
+    KS is exact.  PSI is taken over tenths of the reference's range; values beyond
+    the range fall into the outer tenths.
     """
+    reference, current = materialize(reference, "reference-counts"), materialize(current, "day-counts")
     known = F.col("value").isNotNull()
     limits = reference.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     place = F.least(F.greatest(F.col("value"), F.col("lo")), F.col("hi"))
     # One row per column.
     binned = lambda df: df.where(known).join(F.broadcast(limits), "column").withColumn(
-        "bin", bin_index(place, F.col("lo"), F.col("hi"), fine)
+        "bin", bin_index(place, F.col("lo"), F.col("hi"), BINS)
     )
     ref = binned(reference).groupBy("column", "bin").agg(F.sum("n").alias("ref"))
     cur = binned(current).groupBy("day", "column", "bin").agg(F.sum("n").alias("cur"))
     days = current.select("day", "column").distinct()
-    # At most ``fine`` rows per day and column.
+    # At most ``BINS`` rows per day and column.
     cells = (
         days.join(ref, "column")
         .select("day", "column", "bin", "ref", F.lit(0).cast("long").alias("cur"))
@@ -271,18 +320,12 @@ def daily_summary(
         .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     )
     own = Window.partitionBy("day", "column")
-    share = lambda m, w: F.try_divide(F.sum(m).over(w), F.sum(m).over(own))
-    upto = own.orderBy("bin")
-    gaps = cells.withColumn("gap", F.abs(share("ref", upto) - share("cur", upto)))
-    ks = gaps.groupBy("day", "column").agg(F.max("gap").alias("ks_statistic"))
-    tenths = cells.groupBy("day", "column", F.floor(F.col("bin") / (fine // BINS)).alias("tenth")).agg(
-        F.sum("ref").alias("ref"), F.sum("cur").alias("cur")
-    )
     part = lambda m: F.try_divide(F.col(m), F.sum(m).over(own))
     filled = lambda m: F.when(F.coalesce(part(m), F.lit(0.0)) == 0, EMPTY_SHARE).otherwise(part(m))
-    shares = tenths.select("day", "column", filled("ref").alias("r"), filled("cur").alias("c"))
+    shares = cells.select("day", "column", filled("ref").alias("r"), filled("cur").alias("c"))
     term = (F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))
     index = shares.groupBy("day", "column").agg(F.sum(term).alias("psi"))
+    ks = daily_ks(reference.where(known), current.where(known))
     figures = current.join(F.broadcast(limits), "column").groupBy("day", "column").agg(
         F.try_divide(F.sum(F.when(~known, F.col("n")).otherwise(0)), F.sum("n")).alias("missing"),
         F.max(F.when((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")), 1).otherwise(0)).alias("outside"),
@@ -298,6 +341,7 @@ def daily_summary(
             F.lit(total_columns).cast("long").alias("total_columns"),
             F.max("missing").alias("max_missing_rate"),
             F.sum("outside").alias("range_violations"),
+            F.max("ks_statistic").alias("max_ks"),
         )
         .withColumn(
             "dataset_drift",

@@ -91,19 +91,21 @@ DRIFT_SQL = """
     lim AS (SELECT c, min(v) AS lo, max(v) AS hi FROM long WHERE is_ref GROUP BY c),
     cells AS (
       SELECT l.*, lim.lo, lim.hi, CASE WHEN v IS NULL THEN NULL WHEN lim.hi = lim.lo THEN 0 ELSE
-        least(floor((least(greatest(v, lim.lo), lim.hi) - lim.lo) / ((lim.hi - lim.lo) / 100)), 99) END AS bin
+        least(floor((least(greatest(v, lim.lo), lim.hi) - lim.lo) / ((lim.hi - lim.lo) / 10)), 9) END AS bin
       FROM long l JOIN lim USING (c)),
-    ref AS (SELECT c, bin, count(*) AS r FROM cells WHERE is_ref AND bin IS NOT NULL GROUP BY 1, 2),
-    cur AS (SELECT day, c, bin, count(*) AS n FROM cells WHERE bin IS NOT NULL GROUP BY 1, 2, 3),
-    grid AS (
-      SELECT day, c, bin, sum(r) AS r, sum(n) AS n FROM (
-        SELECT d.day, ref.c, ref.bin, r, 0 AS n FROM ref JOIN (SELECT DISTINCT day, c FROM cells) d USING (c)
-        UNION ALL SELECT day, c, bin, 0, n FROM cur) GROUP BY 1, 2, 3),
+    days AS (SELECT DISTINCT day, c FROM cells),
+    points AS (
+      SELECT day, c, v, sum(r) AS r, sum(n) AS n FROM (
+        SELECT day, c, v, r, 0 AS n FROM (SELECT c, v, count(*) AS r FROM cells WHERE is_ref AND v IS NOT NULL GROUP BY 1, 2) JOIN days USING (c)
+        UNION ALL SELECT day, c, v, 0, count(*) FROM cells WHERE v IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2, 3),
     ks AS (
       SELECT day, c, max(gap) AS ks FROM (
-        SELECT day, c, abs(sum(r) OVER w / sum(r) OVER a - sum(n) OVER w / sum(n) OVER a) AS gap FROM grid
-        WINDOW a AS (PARTITION BY day, c), w AS (PARTITION BY day, c ORDER BY bin)) GROUP BY 1, 2),
-    tenths AS (SELECT day, c, floor(bin / 10) AS t, sum(r) AS r, sum(n) AS n FROM grid GROUP BY 1, 2, 3),
+        SELECT day, c, abs(sum(r) OVER w / sum(r) OVER a - sum(n) OVER w / sum(n) OVER a) AS gap FROM points
+        WINDOW a AS (PARTITION BY day, c), w AS (PARTITION BY day, c ORDER BY v)) GROUP BY 1, 2),
+    tenths AS (
+      SELECT day, c, bin, sum(r) AS r, sum(n) AS n FROM (
+        SELECT day, c, bin, r, 0 AS n FROM (SELECT c, bin, count(*) AS r FROM cells WHERE is_ref AND bin IS NOT NULL GROUP BY 1, 2) JOIN days USING (c)
+        UNION ALL SELECT day, c, bin, 0, count(*) FROM cells WHERE bin IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2, 3),
     psi AS (
       SELECT day, c, sum((n - r) * ln(n / r)) AS psi FROM (
         SELECT day, c, CASE WHEN r = 0 THEN 0.0001 ELSE r / sum(r) OVER a END AS r, CASE WHEN n = 0 THEN 0.0001 ELSE n / sum(n) OVER a END AS n
@@ -111,7 +113,7 @@ DRIFT_SQL = """
     fig AS (SELECT day, c, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS missing, max(CASE WHEN v < lo OR v > hi THEN 1 ELSE 0 END) AS outside
             FROM cells GROUP BY 1, 2)
     SELECT day, round(max(psi), 6) AS drift_score, count(*) FILTER (psi > 0.2 OR ks > 0.1) AS drifted_columns, 2::BIGINT AS total_columns,
-           round(max(missing), 6) AS max_missing_rate, sum(outside)::BIGINT AS range_violations,
+           round(max(missing), 6) AS max_missing_rate, sum(outside)::BIGINT AS range_violations, round(max(ks), 6) AS max_ks,
            CASE WHEN 2 * count(*) FILTER (psi > 0.2 OR ks > 0.1) >= 2 THEN 1 ELSE 0 END AS dataset_drift
     FROM fig LEFT JOIN psi USING (day, c) LEFT JOIN ks USING (day, c) GROUP BY day
     """

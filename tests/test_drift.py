@@ -93,3 +93,26 @@ def test_quality_tests_flag_missing_values(spark):
     got = {(t["test"], t["column"]): t["passed"] for t in drift.quality_tests(r, c, ["x"]).collect()}
     assert got[("row_count", "*")] and got[("column_count", "*")]
     assert not got[("null_share", "x")] and not got[("max", "x")] and got[("min", "x")]
+
+
+def test_daily_ks_equals_numpy_on_every_day(spark, monkeypatch):
+    monkeypatch.setattr(drift, "RANK_BUCKETS", 7)
+    rng = np.random.default_rng(8)
+    ref = np.round(rng.normal(0, 1, 800), 1)
+    days = {"a": np.round(rng.normal(0.3, 1, 300), 1), "b": np.full(50, 9.0), "c": np.full(40, -9.0), "d": ref[:1], "e": np.round(rng.normal(0, 3, 500), 3)}
+    reference = spark.createDataFrame([(float(v),) for v in ref], "x double")
+    current = spark.createDataFrame([(d, float(v)) for d, vs in days.items() for v in vs], "day string, x double")
+    counts = drift.value_counts_by(current, ["x"], ["day"])
+    got = {r["day"]: r["ks_statistic"] for r in drift.daily_ks(drift.value_counts_by(reference, ["x"], []), counts).collect()}
+    for day, values in days.items():
+        grid = np.unique(np.concatenate([ref, values]))
+        fa = np.searchsorted(np.sort(ref), grid, side="right") / len(ref)
+        fb = np.searchsorted(np.sort(values), grid, side="right") / len(values)
+        assert got[day] == pytest.approx(np.abs(fa - fb).max())
+    assert got["b"] == got["c"] == 1.0
+
+
+def test_daily_ks_without_a_reference_has_no_row(spark):
+    none = drift.value_counts_by(frame(spark, x=[1.0]).limit(0), ["x"], [])
+    day = drift.value_counts_by(spark.createDataFrame([("a", 1.0)], "day string, x double"), ["x"], ["day"])
+    assert drift.daily_ks(none, day).count() == 0 and drift.daily_ks(none, day.limit(0)).count() == 0
