@@ -70,6 +70,7 @@ RETRAIN_NEW_DATA_MESSAGE = "Достаточно новых данных для
 PSI_LIMIT = 0.2
 KS_LIMIT = 0.1
 JS_LIMIT = 0.1
+SIGNIFICANCE = 0.05
 MISSING_LIMIT = 0.1
 CONCEPT_LIMIT = 0.3
 ACCURACY_FLOOR = 0.8

@@ -105,13 +105,14 @@ def chi_square_p(statistic: Column, degrees: Column) -> Column:
     )
 
 
-def drift_of(counts: DataFrame, limit: float = V.JS_LIMIT) -> DataFrame:
+def drift_of(counts: DataFrame, limit: float = V.JS_LIMIT, significance: float = V.SIGNIFICANCE) -> DataFrame:
     """One row per column from its counts.
 
     ``js_distance`` is the root of the Jensen-Shannon divergence in bits, from 0
     (equal shares) to 1 (no common category).  ``chi_square`` and ``p_value`` test
-    that both sides have the same shares.  On very large tables every difference
-    is significant, so ``drifted`` follows the distance.  Without a known value on
+    that both sides have the same shares.  A column drifts if the distance is above
+    the limit and the test finds it: on very large tables every difference is
+    significant, on small ones many categories are apart by chance.  Without a known value on
     one side the figures are null and the column does not drift; missing values
     enter the missing rates alone.
     """
@@ -132,18 +133,20 @@ def drift_of(counts: DataFrame, limit: float = V.JS_LIMIT) -> DataFrame:
     )
     # Rounding can leave equal shares a hair below zero.
     distance = F.when(F.col("_divergence") > 0, F.sqrt("_divergence")).when(F.col("_divergence").isNotNull(), 0.0)
-    return figures.select(
+    degrees = F.greatest(F.col("categories") - 1, F.lit(0))
+    p_value = chi_square_p(F.col("chi_square"), degrees.cast("double"))
+    return figures.withColumn("p_value", p_value).select(
         "column",
         "categories",
         "new_categories",
         "vanished_categories",
         distance.alias("js_distance"),
         "chi_square",
-        F.greatest(F.col("categories") - 1, F.lit(0)).cast("long").alias("degrees"),
-        chi_square_p(F.col("chi_square"), F.greatest(F.col("categories") - 1, F.lit(0)).cast("double")).alias("p_value"),
+        degrees.cast("long").alias("degrees"),
+        "p_value",
         "reference_rate",
         "current_rate",
-        F.when(distance > limit, 1).otherwise(0).alias("drifted"),
+        F.when((distance > limit) & (F.col("p_value") < significance), 1).otherwise(0).alias("drifted"),
     )
 
 

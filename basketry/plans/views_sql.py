@@ -244,10 +244,11 @@ category_figures AS (
          sqrt(greatest(sum(divergence), 0)) AS js_distance, sum(chi) AS chi_square, count(*) - 1 AS degrees
   FROM category_parts GROUP BY 1),
 category_drift AS (
-  SELECT f.*, reference_rate, current_rate, CASE WHEN js_distance > 0.1 THEN 1 ELSE 0 END AS drifted,
-         1 - (SELECT sum(exp((degrees / 2.0::DOUBLE + j) * ln(chi_square / 2) - chi_square / 2 - lgamma(degrees / 2.0::DOUBLE + j + 1)))
-              FROM range(2000) AS s(j)) AS p_value
-  FROM category_figures f JOIN category_rates USING ("column")),
+  SELECT *, CASE WHEN js_distance > 0.1 AND p_value < 0.05 THEN 1 ELSE 0 END AS drifted FROM (
+    SELECT f.*, reference_rate, current_rate,
+           1 - (SELECT sum(exp((degrees / 2.0::DOUBLE + j) * ln(chi_square / 2) - chi_square / 2 - lgamma(degrees / 2.0::DOUBLE + j + 1)))
+                FROM range(2000) AS s(j)) AS p_value
+    FROM category_figures f JOIN category_rates USING ("column"))),
 drift_flags AS (
   SELECT psi, psi > 0.2 OR ks_statistic > 0.1 AS drifted, current_rate, violation, 0 AS new_categories
   FROM psi JOIN ks USING ("column") JOIN ranges USING ("column")

@@ -58,6 +58,14 @@ def test_figures_equal_numpy(spark):
     assert row["p_value"] == pytest.approx(even_tail(row["chi_square"], 4), abs=1e-9) and row["drifted"] == 1
 
 
+def test_chance_in_a_small_table_is_no_drift(spark):
+    rng = np.random.default_rng(6)
+    names = [f"c{i}" for i in range(30)]
+    small = [table(spark, x=rng.choice(names, n).tolist()) for n in (150, 150)]
+    row = categories.categorical_drift(*small, ["x"]).first()
+    assert row["js_distance"] > 0.1 and row["p_value"] > 0.05 and row["drifted"] == 0
+
+
 def test_changes_carry_the_whole_divergence(spark):
     counts = categories.side_counts(table(spark, x=list("aab") + [None]), table(spark, x=list("abc") + [""]), ["x"])
     rows = {x["category"]: x for x in categories.category_changes(counts).collect()}

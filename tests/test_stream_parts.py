@@ -178,3 +178,15 @@ def test_sketch_of_a_window_without_latencies(spark):
     merged = jobs.merge_sketches(jobs.sketch_parts(requests.withColumn("event_time", F.timestamp_seconds("s"))))
     row = jobs.sketched_inference(merged).first()
     assert row["requests"] == 2 and row["latency_p95"] is None and row["latency_mean"] is None and row["error_rate"] == 0.5
+
+
+def test_sketches_of_up_to_their_size_are_exact_when_merged(spark):
+    values = np.random.default_rng(4).exponential(3, 4000)
+    requests = spark.createDataFrame(
+        [(0, 0, "m", float(v), i % 16) for i, v in enumerate(values)], "s long, is_error int, model string, latency double, batch int"
+    ).withColumn("event_time", F.timestamp_seconds("s"))
+    merged = None
+    for batch in range(16):
+        one = jobs.sketch_parts(requests.where(F.col("batch") == batch))
+        merged = one if merged is None else jobs.merge_sketches(merged.unionByName(one))
+    assert jobs.sketched_inference(merged).first()["latency_p95"] == np.sort(values)[3799]
