@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import written
+from .support import release, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -48,6 +48,7 @@ def components(links: DataFrame) -> DataFrame:
         )
     if labels is None:
         return loops.distinct().select("node", F.col("node").alias("component"))
+    release(links.sparkSession)
     smallest = written(labels.groupBy("root").agg(F.min("node").alias("component")), "smallest")
     found = labels.join(smallest, "root").select("node", "component")
     lone = loops.distinct().join(found, "node", "left_anti")

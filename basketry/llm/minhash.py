@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .support import GOLDEN, WordHashes, clash_free, mix, prepare, utf8, written
+from .support import GOLDEN, WordHashes, clash_free, mix, prepare, release, utf8, written
 
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -384,6 +384,7 @@ def class_links(member: DataFrame, slots: DataFrame, texts: DataFrame, settings:
         new = written(confirmed(pairs, texts, settings), "links")
         links = new if links is None else links.unionByName(new)
         groups = written(components(links), "groups").withColumnRenamed("node", "doc_id")
+        release(member.sparkSession)
         open_member = member.join(groups, "doc_id", "left").select(
             "doc_id", "band", "bucket", F.coalesce("component", "doc_id").alias("grp")
         )
@@ -414,6 +415,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .drop("h"),
         "texts",
     )
+    release(docs.sparkSession)
     links = class_links(member, slots, texts, settings)
     joined = known.join(classes, sets).select(F.col("doc_id").alias("src"), F.col("first").alias("dst"))
     groups = components(links.unionByName(joined))

@@ -13,6 +13,7 @@ DataFrame; the result is written as Parquet and read again as the next one's doc
   each source comes near its share; a repeated document is that many rows.
 * packing: token ids of every document, packed into sequences of 4096.
 
+Each stage begins by releasing what the one before it left in the driver.
 All stages but the last return the columns of their input, whatever their names.  An empty table runs
 through all stages.  SQL cannot express a learned model or a tokenizer, so ORACLE_SQL
 is None; the stages are tested against plain versions.
@@ -24,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import language, minhash, mixing, packing, pseudonyms
-from basketry.llm.support import is_held_out, prepare, written
+from basketry.llm.support import is_held_out, prepare, release, written
 
 #: Key of the registered run.  A production run passes a secret of its own.
 PSEUDONYM_KEY = "basketry-documents"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return language.keep_known(docs, language.train(docs, ~is_held_out()))
 
 
@@ -47,6 +49,7 @@ def quoted(name: str) -> F.Column:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     columns = [quoted(c) for c in docs.columns]
     key, row = unused(docs, "dedup key"), unused(docs, "dedup row")
     # The key depends on the row alone, so it is the same whenever the table is read.
@@ -55,6 +58,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         keyed.select(quoted(key).alias("doc_id"), "text"), minhash.Settings(shingle=5, percent=80)
     )
     groups = written(found.select("doc_id", "component_id").distinct(), "dedup-groups")
+    release(spark)
     documents = keyed.select(quoted(key).alias("own"), "doc_id").distinct()
     order = F.struct(F.col("a.doc_id").isNull(), F.col("a.doc_id"), F.col("a.own"))
     firsts = (
@@ -69,10 +73,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return pseudonyms.pseudonymize(docs, PSEUDONYM_KEY)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     row, copies, copy = (unused(docs, f"mix {name}") for name in ("row", "copies", "copy"))
     # The numbers are part of a written table: both reads see the same.
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
@@ -86,6 +92,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return packing.pack_documents(docs).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
