@@ -139,3 +139,19 @@ def test_batch_score_answers_every_request_once(tables):
     assert bad.count() > 0 and bad.where("prediction is not null").count() == 0
     assert out.where("error is null and not (probability between 0 and 1)").count() == 0
     assert out.where("error is null and prediction <> cast(probability > 0.5 as int)").count() == 0
+
+
+def test_a_training_set_leaves_only_its_two_tables(spark, tables):
+    import os
+
+    from basketry.session import FILE_CLEANUP, shared_dir
+
+    rows = features.model_features(tables.shop_events)
+    folder = os.path.join(shared_dir(spark), "basketry")
+    before = set(os.listdir(folder))
+    data = learning.classification_set(rows)
+    left = set(os.listdir(folder)) - before
+    assert sorted(name.rsplit("-", 1)[0] for name in left) == ["test", "train"]
+    assert data.train.count() == data.train_rows and data.test.count() > 0
+    # Outside of the step the session is as before.
+    assert spark.conf.get(FILE_CLEANUP, "false") == "false"
