@@ -155,3 +155,19 @@ def test_a_training_set_leaves_only_its_two_tables(spark, tables):
     assert data.train.count() == data.train_rows and data.test.count() > 0
     # Outside of the step the session is as before.
     assert spark.conf.get(FILE_CLEANUP, "false") == "false"
+
+
+def test_trees_learn_in_no_more_partitions_than_cores(spark, monkeypatch):
+    assert [learning.partitions(n, True, 8) for n in (0, 20_000, 335_000, 10_000_000)] == [1, 2, 8, 20]
+    assert learning.partitions(335_000, False, 8) == 34
+    seen = []
+    kept = learning.kept
+    monkeypatch.setattr(learning, "kept", lambda df, parts: seen.append(parts) or kept(df, parts))
+    rows = spark.range(200).select(
+        F.rand(1).alias("a"), (F.col("id") % 2).cast("int").alias("target"), F.lit(1.0).alias("weight")
+    )
+    data = learning.TrainingSet(rows, rows, ["a"], 100 * learning.TRAIN_PARTITION_ROWS)
+    for estimator in (learning.forest(QUICK), learning.boosted(QUICK, "boosted_depth6"), learning.logistic(QUICK, 200)):
+        learning.fit(data, estimator)
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [max(2, cores), max(2, cores), 100]
