@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +173,25 @@ def test_trees_learn_in_no_more_partitions_than_cores(spark, monkeypatch):
         learning.fit(data, estimator)
     cores = spark.sparkContext.defaultParallelism
     assert seen == [max(2, cores), max(2, cores), 100]
+
+
+def test_kernel_machine_keeps_no_mapped_rows(spark):
+    numbers = [F.sin(F.col("id") * (i + 1)).alias(f"x{i}") for i in range(4)]
+    train = spark.range(6000).select(*numbers, (F.col("id") % 2).alias("target"), F.lit(1.0).alias("weight"))
+    data = learning.TrainingSet(train, train, [f"x{i}" for i in range(4)], 6000)
+    held, fitted = [], threading.Event()
+
+    def watch():
+        while not fitted.wait(0.02):
+            held.append(sum(r.memSize() + r.diskSize() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+
+    before = sum(r.memSize() + r.diskSize() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        learning.fit(data, learning.kernel_svm(learning.Effort(linear_rounds=10, kernel_features=512), 6000))
+    finally:
+        fitted.set()
+        watcher.join()
+    # A mapped row has 4096 bytes.
+    assert 0 < max(held) - before < 6000 * 512
