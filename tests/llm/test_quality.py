@@ -176,3 +176,59 @@ def test_scores_do_not_use_other_columns(spark, column):
     table = documents(spark, [(1, text, "en", "a"), (2, text, "de", "b")])
     model = preferences.Model(np.zeros(14), np.ones(14), np.linspace(-1, 1, 28), 0.0)
     assert len({r["score"] for r in preferences.score(table, model).collect()}) == 1
+
+
+def all_pairs(features, labels, ridge=1e-2):
+    """Weights by Newton's method over every pair, formed one by one, and the threshold."""
+    mean, scale = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-3)
+    x = preferences.expand(features, mean, scale)
+    good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
+    pairs = (x[good][:, None] - x[bad][None]).reshape(-1, x.shape[1])
+    weights = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(pairs @ weights))
+        hessian = (pairs * (p * (1 - p))[:, None]).T @ pairs / len(pairs) + ridge * np.eye(len(weights))
+        weights -= np.linalg.solve(hessian, -(pairs * p[:, None]).mean(axis=0) + ridge * weights)
+    scores = np.sort(x @ weights)
+    return weights, (scores[len(bad) - 1] + scores[len(bad)]) / 2
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.7, 30.0])
+def test_weights_are_those_of_all_pairs(spread):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3)) * [1, 5, 0.1] + [0, 2, 7]
+    labels = (x[:, 0] + spread * rng.normal(size=300) > 0.4).astype(int)
+    model = preferences.fit(x, labels)
+    weights, threshold = all_pairs(x, labels)
+    assert model.weights == pytest.approx(weights, abs=1e-9) and model.threshold == pytest.approx(threshold, abs=1e-9)
+
+
+def test_scores_far_apart_pair_up_too():
+    """Cells beyond the reach of the interpolation count in full or not at all."""
+    near, far = {0: np.ones((preferences.NODES, 1))}, {c: np.ones((preferences.NODES, 1)) for c in (-300, 0, 300)}
+    n = preferences.NODES
+    alone, all_of = (preferences._across(preferences._wrong, [0], x, True)[0] for x in (near, far))
+    assert all_of == pytest.approx(alone + n)
+    assert preferences._across(preferences._doubt, [0], {300: far[300]}, False)[0] == pytest.approx(0)
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    """More labelled documents than were once learned from, in several parts; the last ones alone tell what is good."""
+    monkeypatch.setattr(preferences, "PART_ROWS", 1500)
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 3 + i % 7) + (" A!" if i % 2 else " , ,"), "en", "a") for i in range(6000)]
+    labels = [(i, i % 2 if i % 5 else 1 - i % 2) for i in range(6000)]
+    docs, table = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = preferences.train(docs, table, F.lit(True))
+    x, y = np.array([preferences.features_of(r[1]) for r in rows]), np.array([q for _, q in labels])
+    whole = preferences.fit(x, y)
+    assert model.mean == pytest.approx(x.mean(axis=0)) and model.scale == pytest.approx(np.maximum(x.std(axis=0), 1e-3))
+    assert model.weights == pytest.approx(whole.weights, abs=1e-8) and model.threshold == pytest.approx(whole.threshold, abs=1e-8)
+    again = preferences.train(docs.repartition(7), table.repartition(3), F.lit(True))
+    assert np.array_equal(model.weights, again.weights) and model.threshold == again.threshold
+
+
+def test_ids_beyond_the_doubles_stay_whole_beside_a_missing_one(spark):
+    table = documents(spark, [(2**60 + 1, "a b", "en", "a"), (None, "c", "en", "a")]).coalesce(1)
+    found = preferences.score(table, preferences.fit(np.zeros((0, 14)), np.zeros(0))).collect()
+    assert {r["doc_id"] for r in found} == {2**60 + 1, None}
